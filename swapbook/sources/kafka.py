@@ -37,16 +37,17 @@ def source_options(
 
 
 def message_values(records: DataFrame) -> DataFrame:
-    """Message text with its place: the arrival time orders across partitions, then the offset.
+    """Message text with its place in the topic.
 
-    Trades and ticks of a currency share a topic; with one partition per topic the broker's
-    append time rises with the offset.
+    Trades and ticks of a currency share a topic, so with one partition per topic the offset
+    gives their order. Messages of different topics have no order among each other; ``arrived``
+    (microseconds) is the broker's clock, for a replay by time windows.
     """
     return records.select(
         F.col("value").cast("string").alias("value"),
-        F.unix_micros("timestamp").alias("seq"),
+        F.col("offset").alias("seq"),
+        F.unix_micros("timestamp").alias("arrived"),
         "topic",
-        "offset",
     )
 
 
