@@ -96,12 +96,14 @@ def leg_values(
     )
 
 
-def value_from_legs(legs: DataFrame) -> DataFrame:
-    """Add swapvalue and price_status from leg values and the rates of both leg currencies.
+_SIDES = ("_pays_fixed", "_receives_fixed", "_pay", "_receive", "_amount")
+
+
+def _with_sides(legs: DataFrame) -> DataFrame:
+    """Add the value of either side in its currency, and the signed notional.
 
-    LONG earns receive minus pay, SHORT the opposite; two floating legs are worth nothing, as is
-    an unknown side or index. A needed number that is missing leaves swapvalue NULL and says
-    which in price_status.
+    The latter is NULL for a contract that is worth nothing: two floating legs, or an unknown
+    side or index.
     """
     side = F.col("longshort")
     pays_fixed, receives_fixed = F.col("_pays_fixed"), F.col("_receives_fixed")
@@ -109,7 +111,7 @@ def value_from_legs(legs: DataFrame) -> DataFrame:
         receives_fixed & (F.col("payindex") == INDEX_FLOAT)
     )
     position = F.when(side == SIDE_LONG, F.col("notional")).when(side == SIDE_SHORT, -F.col("notional"))
-    legs = legs.withColumns(
+    return legs.withColumns(
         {
             "_pays_fixed": F.col("payindex") == INDEX_FIXED,
             "_receives_fixed": F.col("receiveindex") == INDEX_FIXED,
@@ -118,23 +120,45 @@ def value_from_legs(legs: DataFrame) -> DataFrame:
         {
             "_pay": F.when(pays_fixed, F.col("fixed_leg")).otherwise(F.col("float_leg")),
             "_receive": F.when(receives_fixed, F.col("fixed_leg")).otherwise(F.col("float_leg")),
-            # NULL for a contract that is worth nothing
             "_amount": F.when(counts, position),
         }
     )
+
+
+def value_from_legs(legs: DataFrame) -> DataFrame:
+    """Add swapvalue and price_status from leg values and the rates of both leg currencies.
+
+    LONG earns receive minus pay, SHORT the opposite. A needed number that is missing leaves
+    swapvalue NULL and says which in price_status.
+    """
     pay, receive, amount = F.col("_pay"), F.col("_receive"), F.col("_amount")
     net = convert(receive, F.col("receiveccy"), F.col("receive_rate")) - convert(
         pay, F.col("payccy"), F.col("pay_rate")
     )
     return (
-        legs.withColumn("swapvalue", F.when(amount.isNull(), F.lit(0.0)).otherwise(amount * net))
+        _with_sides(legs)
+        .withColumn("swapvalue", F.when(amount.isNull(), F.lit(0.0)).otherwise(amount * net))
         .withColumn(
             "price_status",
             F.when(F.col("swapvalue").isNotNull(), OK)
             .when(pay.isNull() | receive.isNull(), MISSING_IR)
             .otherwise(MISSING_FX),
         )
-        .drop("_pays_fixed", "_receives_fixed", "_pay", "_receive", "_amount")
+        .drop(*_SIDES)
+    )
+
+
+def with_fx_part(priced: DataFrame) -> DataFrame:
+    """Add ``fx_part``, the share of swapvalue that comes from legs outside USD."""
+    abroad = lambda value, ccy, rate: F.when(
+        F.col(ccy) == BASE_CCY, F.lit(0.0)
+    ).otherwise(convert(F.col(value), F.col(ccy), F.col(rate)))
+    net = abroad("_receive", "receiveccy", "receive_rate") - abroad("_pay", "payccy", "pay_rate")
+    amount = F.col("_amount")
+    return (
+        _with_sides(priced)
+        .withColumn("fx_part", F.when(amount.isNull(), F.lit(0.0)).otherwise(amount * net))
+        .drop(*_SIDES)
     )
 
 
@@ -194,4 +218,5 @@ __all__ = [
     "price_with_rates",
     "split_priced",
     "value_from_legs",
+    "with_fx_part",
 ]

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swapbook.functions.money import money
-from swapbook.operators.pricing import OK, value_from_legs
-from swapbook.schemas import BASE_CCY
+from swapbook.operators.pricing import OK, with_fx_part
 
 SHOCKS = (-0.1, -0.01, 0.01, 0.1)
 
@@ -34,40 +33,25 @@ def counterparty_exposure(valued: DataFrame) -> DataFrame:
 
 
 def fx_sensitivity(priced: DataFrame, shocks: Sequence[float] = SHOCKS) -> DataFrame:
-    """Change in value per (organization, xccy) when all rates of leg currencies move by a shock.
+    """Change in value per (organization, xccy) when every rate against USD moves by a shock.
 
-    ``priced`` is the result of ``price`` with xccy. Leg values do not depend on FX, so only the
-    conversion is redone. All shocks are summed side by side in one aggregate and turned into
-    rows afterwards: the book is not multiplied by the number of shocks.
+    ``priced`` is the result of ``price`` with xccy. A leg outside USD is divided by its rate, so
+    a move by s multiplies it by 1 / (1 + s), and the change is that leg times (1 / (1 + s) - 1).
+    One sum per group therefore serves all shocks: the book is read and aggregated once and is
+    never multiplied by the number of shocks.
     """
-    base = priced.filter(F.col("price_status") == OK).withColumnRenamed("swapvalue", "_base")
-    pay, receive = F.col("_pay"), F.col("_receive")
-    shocked = base.withColumnRenamed("pay_rate", "_pay").withColumnRenamed("receive_rate", "_receive")
-    for i, shock in enumerate(shocks):
-        shocked = (
-            value_from_legs(
-                shocked.withColumn("pay_rate", pay * F.lit(1.0 + shock)).withColumn(
-                    "receive_rate", receive * F.lit(1.0 + shock)
-                )
-            )
-            .withColumn(f"_d{i}", money(F.col("swapvalue") - F.col("_base")))
-            .drop("swapvalue", "pay_rate", "receive_rate")
-        )
-    sums = shocked.groupBy("organization", "xccy").agg(
-        *[F.sum(f"_d{i}").alias(f"_d{i}") for i in range(len(shocks))],
-        F.count(F.lit(1)).alias("trades"),
+    sums = (
+        with_fx_part(priced.filter(F.col("price_status") == OK))
+        .groupBy("organization", "xccy")
+        .agg(F.sum(F.col("fx_part").cast("decimal(28,8)")).alias("fx_value"), F.count(F.lit(1)).alias("trades"))
     )
-    rows = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(float(s)).alias("shock"), F.col(f"_d{i}").alias("change"))
-                for i, s in enumerate(shocks)
-            ]
-        )
+    factors = F.explode(
+        F.array(*[F.struct(F.lit(float(s)).alias("shock"), F.lit(1.0 / (1.0 + s) - 1.0).alias("factor")) for s in shocks])
     )
-    return sums.select("organization", "xccy", "trades", rows.alias("r")).select(
-        "organization", "xccy", F.col("r.shock").alias("shock"), "trades", F.col("r.change").alias("change")
+    return sums.select("*", factors.alias("x")).select(
+        "organization",
+        "xccy",
+        F.col("x.shock").alias("shock"),
+        "trades",
+        (F.col("fx_value").cast("double") * F.col("x.factor")).alias("change"),
     )
-
-
-__all__ = ["BASE_CCY", "SHOCKS", "counterparty_exposure", "fx_sensitivity", "net_liability"]

@@ -159,7 +159,7 @@ def _fx_sensitivity(day_count: str) -> str:
     shocked = _value("(rate * (1.0::DOUBLE + shock))")
     return f"""{_at_date(day_count)}
 SELECT organization, xccy, shock, count(*) AS trades,
-  CAST(sum(CAST({shocked} - swapvalue AS DECIMAL(18,2))) AS DOUBLE) AS change
+  round(CAST(sum(CAST({shocked} - swapvalue AS DECIMAL(28,8))) AS DOUBLE), 0) AS change
 FROM priced CROSS JOIN (VALUES (-0.1::DOUBLE), (-0.01::DOUBLE), (0.01::DOUBLE), (0.1::DOUBLE)) x(shock)
 WHERE price_status = 'ok' GROUP BY organization, xccy, shock"""
 

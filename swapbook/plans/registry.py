@@ -269,7 +269,7 @@ def counterparty_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fx_sensitivity(day_count: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = risk.fx_sensitivity(_priced(spark, sf_dir, day_count))
-        return rows.select("organization", "xccy", "shock", "trades", number("change"))
+        return rows.select("organization", "xccy", "shock", "trades", digits("change", 0))
 
     return query
 
