@@ -30,3 +30,9 @@ def fx_key(day: Column, ccy: Column) -> Column:
 
 def strip_non_ascii(text: Column) -> Column:
     return F.regexp_replace(text, r"[^\x00-\x7F]", "")
+
+
+def window_of(seq: str, width: int) -> Column:
+    """Number of the window that holds ``seq``, in whole-number arithmetic."""
+    step = F.lit(width).cast("bigint")
+    return F.call_function("div", F.col(seq) - F.pmod(F.col(seq), step), step)

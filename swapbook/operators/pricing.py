@@ -131,21 +131,21 @@ def value_from_legs(legs: DataFrame) -> DataFrame:
     LONG earns receive minus pay, SHORT the opposite. A needed number that is missing leaves
     swapvalue NULL and says which in price_status.
     """
-    pay, receive, amount = F.col("_pay"), F.col("_receive"), F.col("_amount")
+    pay, receive, amount, value = F.col("_pay"), F.col("_receive"), F.col("_amount"), F.col("_value")
     net = convert(receive, F.col("receiveccy"), F.col("receive_rate")) - convert(
         pay, F.col("payccy"), F.col("pay_rate")
     )
-    return (
-        _with_sides(legs)
-        .withColumn("swapvalue", F.when(amount.isNull(), F.lit(0.0)).otherwise(amount * net))
-        .withColumn(
-            "price_status",
-            F.when(F.col("swapvalue").isNotNull(), OK)
-            .when(pay.isNull() | receive.isNull(), MISSING_IR)
-            .otherwise(MISSING_FX),
-        )
-        .drop(*_SIDES)
+    status = (
+        F.when(value.isNotNull(), OK)
+        .when(pay.isNull() | receive.isNull(), MISSING_IR)
+        .otherwise(MISSING_FX)
     )
+    priced = _with_sides(legs).withColumn("_value", F.when(amount.isNull(), F.lit(0.0)).otherwise(amount * net))
+    # A filter on a computed column moves below the projection that computes it and evaluates
+    # the whole valuation a second time. It cannot move below a generator, so the two results
+    # leave through one.
+    result = F.inline(F.array(F.struct(value.alias("swapvalue"), status.alias("price_status"))))
+    return priced.select(*legs.columns, result)
 
 
 def with_fx_part(priced: DataFrame) -> DataFrame:

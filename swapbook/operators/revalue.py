@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from swapbook.functions.keys import window_of
 from swapbook.operators.curve import WHOLE_YEARS
 from swapbook.operators.fx import BROADCAST_ROWS
 from swapbook.operators.pricing import price_with_rates
@@ -29,10 +30,6 @@ from swapbook.schemas import CURRENCIES
 DAY_US = 86_400_000_000  # a day, where seq counts microseconds
 
 
-def _window(seq: str, width: int):
-    return F.floor(F.col(seq) / F.lit(width)).cast("bigint")
-
-
 def closes(ticks: DataFrame, width: int = DAY_US) -> DataFrame:
     """Last tick per (currency, window), numbered from 1 within its currency.
 
@@ -40,7 +37,7 @@ def closes(ticks: DataFrame, width: int = DAY_US) -> DataFrame:
     """
     last = (
         ticks.filter(F.col("price").isin(*CURRENCIES))
-        .withColumn("win", _window("seq", width))
+        .withColumn("win", window_of("seq", width))
         .groupBy("price", "win")
         .agg(F.max(F.struct("seq", "date", "rate")).alias("t"))
         .select("price", "win", F.col("t.seq").alias("close_seq"), "t.date", "t.rate")
@@ -85,7 +82,7 @@ def seen_by_close(
     placed = (
         messages.join(ends, "price")
         # whatever came before the first window waits for the first close
-        .withColumn("win", F.greatest(_window("seq", width), F.col("first_win")))
+        .withColumn("win", F.greatest(window_of("seq", width), F.col("first_win")))
         .join(lookup, ["price", "win"])
         .withColumn(
             "close_no",
@@ -121,7 +118,7 @@ def close_rates(ticks: DataFrame, closing: DataFrame, width: int, small: bool) -
     segment = F.size(F.filter("cuts", lambda c: c <= F.col("seq")))
     last_of_segment = (
         ticks.filter(F.col("price").isin(*CURRENCIES))
-        .select(F.col("price").alias("ccy"), "date", "seq", "rate", _window("seq", width).alias("win"))
+        .select(F.col("price").alias("ccy"), "date", "seq", "rate", window_of("seq", width).alias("win"))
         .join(cuts, "win", "left")
         .groupBy("ccy", "date", "win", segment.alias("segment"))
         .agg(F.max("seq").alias("seq"), F.max_by("rate", "seq").alias("rate"))

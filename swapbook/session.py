@@ -34,6 +34,8 @@ def build_session(
         # state calls of the Python stateful operator go over a socket file, not a TCP port
         .config("spark.python.unix.domain.socket.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # no stack capture per column expression: plans here have hundreds of them
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master is not None:
         builder = builder.master(master).config("spark.ui.enabled", "false")

@@ -1,0 +1,67 @@
+"""Small random books, curves and ticks with a fixed seed."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+from swapbook.schemas import CURRENCIES, CURVE, TRADE_FIELDS
+from pyspark.sql import types as T
+
+BASE = dt.date(2022, 3, 31)
+AS_OF = dt.date(2024, 1, 15)
+TRADE = T.StructType(
+    [T.StructField(n, k) for n, k in TRADE_FIELDS]
+    + [T.StructField("xccy", T.StringType()), T.StructField("seq", T.LongType())]
+)
+TICK = "seq BIGINT, date DATE, base STRING, price STRING, rate DOUBLE"
+
+
+def curve_rates(seed=1, holes=0.0, reach=1097):
+    rng = random.Random(seed)
+    return {
+        (term, day): 0.08 + rng.random() / 100
+        for term in ("3M", "6M", "1Y")
+        for day in range(1, reach + 1)
+        if rng.random() >= holes
+    }
+
+
+def curve_frame(spark, rates):
+    rows = [(day, "LIBOR", term, rate) for (term, day), rate in rates.items()]
+    return spark.createDataFrame(rows, CURVE)
+
+
+def trade(rng, number, seq=0, two_foreign=0.0, **fixed):
+    foreign = rng.choice(CURRENCIES)
+    other = rng.choice([c for c in CURRENCIES if c != foreign]) if rng.random() < two_foreign else "USD"
+    pay, receive = (foreign, other) if rng.random() < 0.5 else (other, foreign)
+    start = rng.randint(0, 731)
+    row = {
+        "id": f"SWAP{number}",
+        "organization": f"org{rng.randint(1, 9)}",
+        "tradedate": BASE + dt.timedelta(start),
+        "settlementdate": BASE + dt.timedelta(start + 2),
+        "maturitydate": BASE + dt.timedelta(rng.choice([722, 1082])),
+        "notional": float(rng.randint(30, 100) * 1_000_000),
+        "counterparty": f"org{rng.randint(10, 19)}",
+        "longshort": rng.choice(["LONG", "SHORT"]),
+        "payccy": pay,
+        "receiveccy": receive,
+        "payindex": rng.choice(["FIXED", "LIBOR"]),
+        "receiveindex": rng.choice(["FIXED", "LIBOR"]),
+        "frequency": rng.choice(["3M", "6M", "1Y"]),
+        "seq": seq,
+        **fixed,
+    }
+    row.setdefault("xccy", row["payccy"] if row["payccy"] != "USD" else row["receiveccy"])
+    return row
+
+
+def trade_frame(spark, trades):
+    names = TRADE.fieldNames()
+    return spark.createDataFrame([tuple(t[n] for n in names) for t in trades], TRADE)
+
+
+def tick_frame(spark, ticks):
+    return spark.createDataFrame(ticks, TICK)
