@@ -1,0 +1,85 @@
+"""What the physical plans must and must not contain."""
+
+import re
+
+import pytest
+
+from swapbook.operators import portfolio
+from swapbook.operators.fx import latest_fx
+from swapbook.operators.pricing import OK, price
+from swapbook.plans import inputs
+from swapbook.plans.oracle import SQL
+from swapbook.plans.registry import QUERIES
+
+SF = "/root/testdata/sf0.001"
+JIT_LIMIT = 8000  # bytecodes; the JVM leaves longer methods to its interpreter
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def largest_method(spark, df):
+    debug = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
+    stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+
+
+@pytest.fixture
+def static(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_every_query_has_its_sql():
+    assert QUERIES.keys() == SQL.keys()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cross_product_and_no_oversized_code(spark, static, name):
+    df = QUERIES[name](spark, SF)
+    plan = plan_of(df)
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert largest_method(spark, df) < JIT_LIMIT
+
+
+def test_pricing_does_not_move_the_trades(spark, static, folder):
+    inputs.trades(spark, SF).write.parquet(f"{folder}/trades")
+    trades = spark.read.parquet(f"{folder}/trades")
+    priced = price(trades, inputs.curve(spark, SF), latest_fx(inputs.ticks(spark, SF)), inputs.AS_OF)
+    plan = plan_of(priced.filter(f"price_status = '{OK}'").select("id", "swapvalue"))
+    # the line of joins from the trade scan up to the result has no exchange
+    spine = []
+    for line in plan.splitlines():
+        if "/trades]" in line:
+            break
+        spine.append(line)
+    depth = [len(re.match(r"[ :+\-|]*", line).group()) for line in spine]
+    scan = next(line for line in plan.splitlines() if "/trades]" in line)
+    on_path, level = [], len(re.match(r"[ :+\-|]*", scan).group())
+    for line, d in reversed(list(zip(spine, depth))):
+        if d < level:
+            on_path.append(line)
+            level = d
+    assert not any("Exchange" in line for line in on_path)
+    assert sum("BroadcastHashJoin" in line for line in on_path) == 3
+    assert "ReadSchema" in scan and "counterparty" not in scan.split("ReadSchema")[1]
+    # the status filter stays above the generator: the valuation is computed once
+    assert plan.count("sums") < 2 * plan_of(priced.select("id", "swapvalue")).count("sums")
+
+
+def test_filters_reach_the_scan_of_the_valuation_table(spark, static, folder):
+    from swapbook.schemas import valuation_columns
+
+    priced = price(
+        inputs.trades(spark, SF), inputs.curve(spark, SF), latest_fx(inputs.ticks(spark, SF)), inputs.AS_OF,
+        valuation_ts="2024-01-15 00:00:00",
+    )
+    valuation_columns(priced).write.parquet(f"{folder}/v")
+    stored = spark.read.parquet(f"{folder}/v")
+    for df in (portfolio.latest_for_organization(stored, "org1"), portfolio.org_valuations(stored, "org1")):
+        assert "EqualTo(organization,org1)" in plan_of(df)
+    latest = plan_of(portfolio.latest_valuation(stored))
+    assert latest.count("HashAggregate") == 2 and "SortAggregate" not in latest
+    assert "WindowGroupLimit" in plan_of(portfolio.latest_valuation_rows(stored))

@@ -1,0 +1,190 @@
+import json
+import os
+import random
+
+import data
+import pytest
+import replay
+from pyspark.sql import functions as F
+from test_revalue import DAY0, event_log
+
+from swapbook.operators.pricing import OK
+from swapbook.operators.revalue import DAY_US, revalue_on_tick
+from swapbook.schemas import VALUATION_COLUMNS
+from swapbook.sources import files, kafka, messages
+from swapbook.streaming import jobs, sinks
+
+
+def texts(trades, ticks):
+    """The event log as message texts, in order of arrival."""
+    lines = []
+    for t in trades:
+        body = {k: str(v) for k, v in t.items() if k not in ("seq", "xccy")}
+        lines.append((t["seq"], 1, {"source_stream": "swap_stream", **body, "valuationdate": "2024-01-01 00:00:00", "swapvalue": "0"}))
+    for seq, day, base, ccy, rate in ticks:
+        date = f"{day.month}/{day.day}/{day.year}"
+        lines.append((seq, 0, {"source_stream": "fx_stream", "date": date, "base": base, "price": ccy, "rate": repr(rate)}))
+    return [(seq, json.dumps(body)) for seq, _, body in sorted(lines, key=lambda line: line[:2])]
+
+
+def write_file(folder, number, lines):
+    os.makedirs(folder, exist_ok=True)
+    path = f"{folder}/part-{number:05d}.json"
+    with open(path, "w") as out:
+        for seq, value in lines:
+            out.write(json.dumps({"seq": seq, "value": value}) + "\n")
+    os.utime(path, (1_700_000_000 + number, 1_700_000_000 + number))
+
+
+def run_revaluation(spark, folder, curve, **options):
+    raw = files.stream_messages(spark, f"{folder}/in", max_files=1)
+    query = jobs.revaluation_query(
+        raw,
+        curve,
+        sinks.append_sink(f"{folder}/out"),
+        f"{folder}/checkpoint",
+        available_now=True,
+        buckets=3,
+        valuation_ts=F.timestamp_micros("tick_seq"),
+        **options,
+    ).start()
+    query.awaitTermination(300)
+    assert query.exception() is None
+    return query
+
+
+def stored(spark, folder):
+    rows = spark.read.parquet(f"{folder}/out").collect()
+    result = {(r.tick_seq, r.id): (r.trade_seq, r.swapvalue, r.price_status) for r in rows}
+    assert len(result) == len(rows)
+    return result
+
+
+def same(got, expected):
+    assert got.keys() == expected.keys()
+    for key, (seq, amount, status) in expected.items():
+        assert got[key][0] == seq and got[key][2] == status
+        assert got[key][1] == (None if amount is None else pytest.approx(amount, rel=1e-12, abs=1e-9))
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_stream_equals_replay_for_any_split_and_restart(spark, folder, parts):
+    trades, ticks = event_log(33, trades=80, ticks=40, days=3, two_foreign=0.4)
+    curve = data.curve_rates()
+    lines = texts(trades, ticks)
+    size = -(-len(lines) // parts)
+    frame = data.curve_frame(spark, curve)
+    for part in range(parts):
+        if part == parts // 2 and part > 0:  # stop, then go on from the checkpoint
+            run_revaluation(spark, folder, frame)
+        write_file(f"{folder}/in", part, lines[part * size : (part + 1) * size])
+    query = run_revaluation(spark, folder, frame)
+    expected = replay.valuations(trades, ticks, curve)
+    assert len(expected) > 50
+    same(stored(spark, folder), expected)
+    counts = jobs.batch_counts(query)
+    assert sum(n for _, n in counts) == (len(lines) if parts == 1 else len(lines) - size * (parts // 2))
+
+
+def test_last_tick_only_equals_the_batch_replay(spark, folder):
+    trades, ticks = event_log(34, trades=80, ticks=60, days=3)
+    curve = data.curve_frame(spark, data.curve_rates())
+    write_file(f"{folder}/in", 0, texts(trades, ticks))
+    run_revaluation(spark, folder, curve, last_tick_only=True)
+    batch = revalue_on_tick(data.trade_frame(spark, trades), data.tick_frame(spark, ticks), curve, width=DAY_US)
+    expected = {(r.close_seq, r.id): (r.seq, r.swapvalue, r.price_status) for r in batch.collect()}
+    same(stored(spark, folder), expected)
+
+
+def test_new_trade_waits_for_the_next_tick_of_its_currency(spark, folder):
+    eur = lambda n, seq: data.trade(random.Random(1), n, seq, payccy="EUR", receiveccy="USD", xccy="EUR")
+    jpy = data.trade(random.Random(1), 2, 2, payccy="JPY", receiveccy="USD", xccy="JPY")
+    write_file(f"{folder}/in", 0, texts([eur(1, 1), jpy, eur(3, 5)], [(4, DAY0, "USD", "EUR", 0.7)]))
+    run_revaluation(spark, folder, data.curve_frame(spark, data.curve_rates()), all_currencies=False)
+    assert set(stored(spark, folder)) == {(4, "SWAP1")}
+
+
+def test_unusable_messages_are_set_aside(spark, folder):
+    good = data.trade(random.Random(1), 1, 1, payccy="EUR", receiveccy="USD", xccy="EUR")
+    lines = texts([good], [(9, DAY0, "USD", "EUR", 0.7)])
+    bad = ["no json", "{}", json.dumps({"source_stream": "fx_stream", "date": "x", "price": "EUR", "rate": "1"})]
+    write_file(f"{folder}/in", 0, lines + [(20 + i, text) for i, text in enumerate(bad)])
+    raw = files.stream_messages(spark, f"{folder}/in")
+    jobs.writer(
+        jobs.rejected_messages(raw), sinks.append_sink(f"{folder}/bad"), f"{folder}/c2", "rejected", True
+    ).start().awaitTermination(120)
+    rows = {r.value: r.reject_reason for r in spark.read.parquet(f"{folder}/bad").collect()}
+    assert rows == {"no json": "not a message", "{}": "not a message", bad[2]: "bad date"}
+    run_revaluation(spark, folder, data.curve_frame(spark, data.curve_rates()))
+    assert set(stored(spark, folder)) == {(9, "SWAP1")}
+
+
+def test_table_sink_is_idempotent_and_quarantines(spark, folder):
+    trades, ticks = event_log(35, trades=60, ticks=20, days=2)
+    curve = data.curve_frame(spark, data.curve_rates(holes=0.05))
+    rows = revalue_on_tick(data.trade_frame(spark, trades), data.tick_frame(spark, ticks), curve)
+    sink = sinks.table_sink(f"{folder}/table", f"{folder}/quarantine")
+    for batch_id in (0, 0, 1):
+        sink(rows, batch_id)
+    table = files.read_valuations(spark, f"{folder}/table")
+    good, bad = rows.filter(F.col("price_status") == OK).count(), rows.filter(F.col("price_status") != OK).count()
+    assert good and bad
+    assert table.groupBy("batch_id").count().collect() and table.count() == 2 * good
+    assert {r["count"] for r in table.groupBy("batch_id").count().collect()} == {good}
+    assert spark.read.parquet(f"{folder}/quarantine").count() == 2 * bad
+    plan = table.filter("valuation_day = DATE'2024-01-01' AND organization = 'org1'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(valuation_day" in plan and "EqualTo(organization,org1)" in plan
+
+
+def test_priced_messages_are_stored(spark, folder):
+    """Mode two: valuations leave as messages and come back as table rows."""
+    trades, ticks = event_log(36, trades=60, ticks=20, days=2)
+    curve = data.curve_frame(spark, data.curve_rates())
+    rows = revalue_on_tick(data.trade_frame(spark, trades), data.tick_frame(spark, ticks), curve)
+    good = rows.filter(F.col("price_status") == OK)
+    records = sinks.kafka_records(good)
+    assert {r.topic for r in records.select("topic").distinct().collect()} <= set(kafka.topics("processed_xccy_swaps"))
+    records.select(F.monotonically_increasing_id().alias("seq"), "value").write.json(f"{folder}/in")
+    query = jobs.persist_query(
+        files.stream_messages(spark, f"{folder}/in"), sinks.table_sink(f"{folder}/table"), f"{folder}/c", True
+    ).start()
+    query.awaitTermination(120)
+    table = files.read_valuations(spark, f"{folder}/table")
+    assert table.columns[: len(VALUATION_COLUMNS)] == list(VALUATION_COLUMNS)
+    key = ["id", "organization", "swapvalue", "notional", "settlementdate"]
+    to_rows = lambda df: sorted(map(tuple, df.select(*key).collect()))
+    assert to_rows(table) == to_rows(good)
+
+
+def test_single_rows_can_be_inserted(spark, folder):
+    import datetime as dt
+
+    day = dt.date(2008, 7, 21)
+    row = ("SWAP100", "org2472", day, day, day, 31e6, "org9192", "SHORT", "XAG", "JPY", "LIBOR", "LIBOR", "6M")
+    sinks.insert_valuations(spark, [(*row, dt.datetime(2017, 9, 13, 14, 34, 48), 100.23, None)], f"{folder}/t", 0)
+    stored_row = files.read_valuations(spark, f"{folder}/t").first()
+    assert (stored_row.swapvalue, str(stored_row.valuation_day)) == (100.23, "2017-09-13")
+
+
+def test_kafka_options_and_records(spark):
+    options = kafka.source_options("host:9092", max_per_trigger=1000)
+    assert options["subscribe"].split(",") == kafka.topics() and len(kafka.topics()) == 8
+    assert options["maxOffsetsPerTrigger"] == "1000"
+    assert kafka.source_options("h", currencies=None)["subscribePattern"] == "xccy_swaps_[A-Z]{3}"
+    ticks = data.tick_frame(spark, [(1, DAY0, "USD", "EUR", 0.7)])
+    record = sinks.tick_records(ticks, "xccy_swaps").first()
+    assert record.topic == "xccy_swaps_EUR"
+    assert json.loads(record.value) == {
+        "source_stream": "fx_stream", "date": "1/1/2024", "base": "USD", "price": "EUR", "rate": "0.7"
+    }
+    raw = spark.createDataFrame([(bytearray(b"x"), 5, "t")], "value BINARY, offset BIGINT, topic STRING")
+    row = kafka.message_values(raw.withColumn("timestamp", F.timestamp_micros(F.lit(7)))).first()
+    assert (row.value, row.seq, row.arrived) == ("x", 5, 7)
+
+
+def test_both_sinks_see_the_batch(spark, folder):
+    seen = []
+    sink = sinks.both(lambda b, i: seen.append((b.count(), i)), lambda b, i: seen.append((b.count(), i)))
+    sink(spark.range(5), 3)
+    assert seen == [(5, 3), (5, 3)]
+    assert messages.is_tick() is not None
