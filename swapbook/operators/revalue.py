@@ -26,6 +26,7 @@ from swapbook.operators.curve import WHOLE_YEARS
 from swapbook.operators.fx import BROADCAST_ROWS
 from swapbook.operators.pricing import price_with_rates
 from swapbook.schemas import CURRENCIES
+from swapbook.session import checkpointed
 
 DAY_US = 86_400_000_000  # a day, where seq counts microseconds
 
@@ -146,7 +147,8 @@ def revaluation_pairs(messages: DataFrame, ticks: DataFrame, width: int = DAY_US
 
     ``messages`` are trade messages with xccy and seq, ``ticks`` have seq, date, price and rate.
     """
-    closing = closes(ticks, width)
+    # A few rows per currency and window, read several times below.
+    closing = checkpointed(closes(ticks, width))
     small = windows_covered(closing) <= BROADCAST_ROWS
     rates = close_rates(ticks, closing, width, small)
     if small:  # one row per close, so never more than the windows counted

@@ -21,8 +21,16 @@ ORGANIZATIONS = 750
 COUNTERPARTIES = 10_000
 
 
+# The columns in use. Stating them spares a look into the files while a query is planned.
+LAYOUT = {
+    "orders": "o_orderkey BIGINT",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(LAYOUT[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, splits: int) -> DataFrame:
@@ -59,9 +67,9 @@ def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _as_ticks(events: DataFrame) -> DataFrame:
     """One FX tick per event; seq is its arrival in microseconds."""
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.unix_micros(F.col("ts").cast("timestamp")).alias("seq"),
         F.col("ts").cast("date").alias("date"),
         F.lit(BASE_CCY).alias("base"),
@@ -70,6 +78,10 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_ticks(table(spark, sf_dir, "events"))
+
+
 def _as_trades(keyed: DataFrame) -> DataFrame:
     """Trade fields from a key ``k``, a notional in millions and an arrival ``seq``."""
     k = F.col("k")
@@ -101,30 +113,36 @@ def _as_trades(keyed: DataFrame) -> DataFrame:
     )
 
 
-def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_keys(orders: DataFrame) -> DataFrame:
     """One trade per order; seq is its arrival in microseconds, within the tick history."""
     k = F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders")
-    keyed = orders.select(
+    return orders.select(
         k.alias("k"),
         (k * 131 % 71 + 30).alias("millions"),
         (k * 7919 % MONTH_S * 1_000_000 + EPOCH_US).alias("seq"),
     )
-    return spread(_as_trades(keyed), orders.rdd.getNumPartitions())
 
 
-def amendments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_keys(lines: DataFrame) -> DataFrame:
     """One re-sent trade per order line, with another notional and a later or earlier arrival."""
     k, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     arrival = (k * 7919 + line * 86413 + part * 37) % MONTH_S
     tie_break = line * 100_000 + F.col("l_suppkey") % 1000 * 100 + F.col("l_quantity").cast("bigint") % 100
-    lines = table(spark, sf_dir, "lineitem")
-    keyed = lines.select(
+    return lines.select(
         k.alias("k"),
         ((part * 131 + line) % 71 + 30).alias("millions"),
         (arrival * 1_000_000 + tie_break + EPOCH_US).alias("seq"),
     )
-    return spread(_as_trades(keyed), lines.rdd.getNumPartitions())
+
+
+def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return _as_trades(spread(order_keys(orders), orders.rdd.getNumPartitions()))
+
+
+def amendments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    return _as_trades(spread(line_keys(lines), lines.rdd.getNumPartitions()))
 
 
 def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +150,21 @@ def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trades(spark, sf_dir).unionByName(amendments(spark, sf_dir))
 
 
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # a pattern, since a stream takes a plain path for a folder
+    return spark.readStream.schema(LAYOUT[name]).parquet(f"{sf_dir}/{name}.parquet*")
+
+
+def trade_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trade topic as a stream over the same tables."""
+    first = order_keys(stream(spark, sf_dir, "orders"))
+    return _as_trades(first.unionByName(line_keys(stream(spark, sf_dir, "lineitem"))))
+
+
+def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_ticks(stream(spark, sf_dir, "events"))
+
+
 def cents(name: str) -> Column:
     """A value as whole cents, read back as a double for comparison."""
     return money(F.col(name)).cast("double").alias(name)

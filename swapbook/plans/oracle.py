@@ -238,3 +238,5 @@ SELECT organization, counterparty, CAST(sum(greatest(CAST(swapvalue AS DECIMAL(1
     "fx_sensitivity": _fx_sensitivity("whole_years"),
     "fx_sensitivity_act360": _fx_sensitivity("act_360"),
 }
+
+SQL["stream_revalue_on_tick"] = SQL["revalue_on_tick"]

@@ -18,7 +18,10 @@ from swapbook.operators.pricing import OK, leg_values, price
 from swapbook.operators.revalue import revalue_on_tick
 from swapbook.plans import inputs
 from swapbook.schemas import VALUATION_KEY, valuation_columns
+from swapbook.session import ROCKSDB_PROVIDER, work_dir
 from swapbook.sources import messages
+from swapbook.streaming.jobs import revaluations, writer
+from swapbook.streaming.sinks import append_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -187,6 +190,24 @@ def tick_revaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_revalue_on_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same re-pricing by the streaming job, run over the tables until they are used up."""
+    folder = work_dir(spark, "stream")
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    priced = revaluations(
+        inputs.trade_stream(spark, sf_dir),
+        inputs.tick_stream(spark, sf_dir),
+        inputs.curve(spark, sf_dir),
+        buckets=4,
+        last_tick_only=True,
+        all_currencies=False,
+    ).select("tick_seq", "xccy", "id", "organization", "notional", "trade_seq", inputs.cents("swapvalue"), "price_status")
+    run = writer(priced, append_sink(f"{folder}/out"), f"{folder}/state", "revalue_tables", available_now=True).start()
+    run.awaitTermination()
+    return spark.read.schema(priced.schema).parquet(f"{folder}/out").drop("batch_id")
+
+
 def events_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = inputs.trade_messages(spark, sf_dir).select("seq")
     ticks = inputs.ticks(spark, sf_dir).select("seq")
@@ -290,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "trade_book": trade_book,
     "book_by_ccy": book_by_ccy,
     "revalue_on_tick": tick_revaluation,
+    "stream_revalue_on_tick": stream_revalue_on_tick,
     "events_per_batch": events_per_batch,
     "latest_valuation": latest_valuation,
     "latest_valuation_rows": latest_valuation_rows,

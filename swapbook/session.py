@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -46,10 +46,28 @@ def build_session(
     return builder.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The checkpoint folder the cluster names; a temporary one only where none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    folder = tempfile.mkdtemp(prefix="swapbook-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder (of a temp folder where none is set)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="swapbook-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return os.path.join(shared, f"{purpose}-{uuid.uuid4().hex}")
+    """A fresh sub-folder of the shared folder."""
+    return os.path.join(shared_dir(spark), f"{purpose}-{uuid.uuid4().hex}")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, where a lost executor cannot take it."""
+    spark = df.sparkSession
+    folder = shared_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()
