@@ -28,9 +28,13 @@ def read_curve(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
-def read_fx_seed(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated ``date, base, price, rate`` file without header, as ticks before all others."""
-    raw = spark.read.schema(FX_SEED).option("sep", "\t").csv(path)
+def read_fx_seed(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """Tab-separated ``date, base, price, rate`` files without header, as ticks before all others.
+
+    With ``stream`` the folder is read once by a stream, to start its rate state with.
+    """
+    reader = spark.readStream if stream else spark.read
+    raw = reader.schema(FX_SEED).option("sep", "\t").csv(path)
     return raw.select(
         F.lit(-1).cast("bigint").alias("seq"),
         parse_slash_date(strip_non_ascii(F.col("date"))).alias("date"),

@@ -12,7 +12,7 @@ from swapbook.operators.pricing import OK
 from swapbook.operators.revalue import DAY_US, revalue_on_tick
 from swapbook.schemas import VALUATION_COLUMNS
 from swapbook.sources import files, kafka, messages
-from swapbook.streaming import jobs, sinks
+from swapbook.streaming import app, jobs, sinks
 
 
 def texts(trades, ticks):
@@ -188,3 +188,37 @@ def test_both_sinks_see_the_batch(spark, folder):
     sink(spark.range(5), 3)
     assert seen == [(5, 3), (5, 3)]
     assert messages.is_tick() is not None
+
+
+def test_job_script_from_files_with_seed_rates(spark, folder):
+    """A trade with two legs outside USD takes the rate of the other one from the seed."""
+    curve = data.curve_rates()
+    os.makedirs(f"{folder}/ref/ir_data")
+    for term in ("3M", "6M", "1Y"):
+        with open(f"{folder}/ref/ir_data/ir_{term}.txt", "w") as out:
+            out.write("days\tindex\tterm\trate\n")
+            out.writelines(f"{d}\tLIBOR\t{t}\t{r!r}\n" for (t, d), r in curve.items() if t == term)
+    os.makedirs(f"{folder}/ref/fx_data")
+    with open(f"{folder}/ref/fx_data/fx_USD.txt", "w") as out:
+        out.write("1/1/2024\tUSD\tJPY\t0.9\n")
+    import datetime as dt
+
+    swap = data.trade(
+        random.Random(1), 1, 1, payccy="EUR", receiveccy="JPY", xccy="EUR", payindex="FIXED", receiveindex="LIBOR",
+        settlementdate=dt.date(2023, 6, 1), maturitydate=dt.date(2025, 6, 1),
+    )
+    tick = (5, DAY0, "USD", "EUR", 0.7)
+    write_file(f"{folder}/in", 0, [*texts([swap], [tick]), (9, json.dumps("no payment dates"))])
+    args = app.arguments(
+        ["revalue", "--messages", f"{folder}/in", "--input-dir", f"{folder}/ref", "--fx-seed", "--buckets", "2",
+         "--table", f"{folder}/t", "--checkpoint", f"{folder}/c", "--available-now"]
+    )
+    for query in app.start(spark, args):
+        query.awaitTermination(200)
+        assert query.exception() is None
+    row = files.read_valuations(spark, f"{folder}/t").first()
+    expected = replay.valuations([swap], [(0, DAY0, "USD", "JPY", 0.9), tick], curve)[(5, "SWAP1")]
+    assert row.swapvalue == pytest.approx(expected[1], rel=1e-12)
+    assert [r.reject_reason for r in spark.read.parquet(f"{folder}/t_rejected").collect()] == ["not a message"]
+    with pytest.raises(SystemExit):
+        app.arguments(["revalue", "--messages", "x", "--table", "t", "--checkpoint", "c"])
