@@ -222,3 +222,20 @@ def test_job_script_from_files_with_seed_rates(spark, folder):
     assert [r.reject_reason for r in spark.read.parquet(f"{folder}/t_rejected").collect()] == ["not a message"]
     with pytest.raises(SystemExit):
         app.arguments(["revalue", "--messages", "x", "--table", "t", "--checkpoint", "c"])
+
+
+@pytest.mark.parametrize("limit", [0, 2, 100])
+def test_stored_rows_pass_through_whether_kept_or_not(limit):
+    from swapbook.streaming.processor import _Kept
+
+    class State:
+        reads = 0
+
+        def iterator(self):
+            State.reads += 1
+            return iter([((f"id{i}",), [i]) for i in range(3)])
+
+    kept, state = _Kept(limit), State()
+    for _ in range(2):
+        assert list(kept.through(state)) == [(f"id{i}", (i,)) for i in range(3)]
+    assert State.reads == (1 if limit >= 3 else 2)
