@@ -8,6 +8,7 @@ import replay
 from pyspark.sql import functions as F
 from test_revalue import DAY0, event_log
 
+from swapbook.operators.portfolio import latest_valuation
 from swapbook.operators.pricing import OK
 from swapbook.operators.revalue import DAY_US, revalue_on_tick
 from swapbook.schemas import VALUATION_COLUMNS
@@ -207,8 +208,8 @@ def test_job_script_from_files_with_seed_rates(spark, folder):
         random.Random(1), 1, 1, payccy="EUR", receiveccy="JPY", xccy="EUR", payindex="FIXED", receiveindex="LIBOR",
         settlementdate=dt.date(2023, 6, 1), maturitydate=dt.date(2025, 6, 1),
     )
-    tick = (5, DAY0, "USD", "EUR", 0.7)
-    write_file(f"{folder}/in", 0, [*texts([swap], [tick]), (9, json.dumps("no payment dates"))])
+    ticks = [(5, DAY0, "USD", "EUR", 0.6), (6, DAY0, "USD", "EUR", 0.7)]
+    write_file(f"{folder}/in", 0, [*texts([swap], ticks), (9, json.dumps("no payment dates"))])
     args = app.arguments(
         ["revalue", "--messages", f"{folder}/in", "--input-dir", f"{folder}/ref", "--fx-seed", "--buckets", "2",
          "--table", f"{folder}/t", "--checkpoint", f"{folder}/c", "--available-now"]
@@ -216,9 +217,11 @@ def test_job_script_from_files_with_seed_rates(spark, folder):
     for query in app.start(spark, args):
         query.awaitTermination(200)
         assert query.exception() is None
-    row = files.read_valuations(spark, f"{folder}/t").first()
-    expected = replay.valuations([swap], [(0, DAY0, "USD", "JPY", 0.9), tick], curve)[(5, "SWAP1")]
-    assert row.swapvalue == pytest.approx(expected[1], rel=1e-12)
+    table = files.read_valuations(spark, f"{folder}/t")
+    assert table.select("valuationdate").distinct().count() == 2
+    latest = latest_valuation(table).first()
+    expected = replay.valuations([swap], [(0, DAY0, "USD", "JPY", 0.9), *ticks], curve)[(6, "SWAP1")]
+    assert latest.swapvalue == pytest.approx(expected[1], rel=1e-12)
     assert [r.reject_reason for r in spark.read.parquet(f"{folder}/t_rejected").collect()] == ["not a message"]
     with pytest.raises(SystemExit):
         app.arguments(["revalue", "--messages", "x", "--table", "t", "--checkpoint", "c"])
