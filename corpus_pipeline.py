@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swapbook.llm import line_dedup, mixing, quality
+from swapbook.llm import line_dedup, mixing, near_dup, quality
 from swapbook.session import work_dir
 
 #: The verdicts of the rules, the near-duplicate search and the tokenizer are not expressible in SQL.
@@ -23,6 +23,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cleaned
 
 
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates."""
+    return near_dup.one_of_each(docs)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training sequence: a document as often as the mix takes it."""
     return mixing.curriculum(docs)
@@ -31,6 +36,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup_stage),
+    ("near_duplicates", near_dup_stage),
     ("mixing", mixing_stage),
 ]
 
