@@ -12,7 +12,7 @@ Equal texts become one node first, however many there are. In a band's bucket al
 least one (the hub), and those that stay apart from it with a few other hubs; that is linear in the bucket and joins
 large groups of near copies. What is left to compare are nodes of one bucket that lie in different components. In buckets of bounded size their pairs are formed by a join
 whose condition holds the estimate; the nodes of larger ones are brought together by an exact prefix filter on their
-sets, in which a passage that many texts share brings nobody together. Sets are built only for nodes that share a bucket with another.
+sets, in which a passage that many texts share brings nobody together, and parity bits rule out most of the rest. Sets are built only for nodes that share a bucket with another.
 
 Defined cases: a text without words has no shingles and links with nothing; with fewer than five words, the whole
 sequence is the one shingle; rows with one doc_id are one node and share their links; a null doc_id takes no part
@@ -42,6 +42,8 @@ SLACK = 5.0
 HUBS = 6
 #: Nodes of a bucket up to which its open pairs are formed directly; larger buckets go by prefixes.
 DIRECT = 64
+#: 64-bit words of the parity bits.
+PARITY_WORDS = 8
 
 
 def shingles(df: DataFrame, text: str) -> DataFrame:
@@ -117,6 +119,17 @@ def plausible(a: str, b: str) -> Column:
     return sizes & quick & (similarity >= limit(filled))
 
 
+def parities(items: Column) -> Column:
+    """Bits that each item of a set flips one of: two sets differ in at least as many items as bits."""
+
+    def word(k: Column) -> Column:
+        own = F.filter(items, lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(PARITY_WORDS - 1)) == k)
+        flipped = F.transform(own, lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int")))
+        return F.aggregate(flipped, F.lit(0).cast("long"), lambda a, bit: a.bitwiseXOR(bit))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(PARITY_WORDS - 1)), word)
+
+
 def sketched(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """(doc_id, key, n, codes) of each document."""
     found = shingles(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("_text")), "_text")
@@ -160,7 +173,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     labels = components(links)
     mixed = kept(_mixed(shared, labels))
     rest = _by_pairs(mixed.filter(F.col("_size") <= DIRECT), sketches)
-    rest = rest.unionByName(_by_prefixes(mixed.filter(F.col("_size") > DIRECT).select("node", "component").distinct(), sets, sketches))
+    rest = rest.unionByName(_by_prefixes(mixed.filter(F.col("_size") > DIRECT).select("node", "component").distinct(), sets))
     links = kept(_stars(labels).unionByName(confirmed(rest.distinct(), sets)))
     labels = components(links)
 
@@ -211,7 +224,7 @@ def _by_pairs(mixed: DataFrame, sketches: DataFrame) -> DataFrame:
     return _ordered(x.join(y, (x.bucket == y.bucket) & (x.a_node < y.b_node) & (x.a_component != y.b_component) & plausible("a_", "b_")))
 
 
-def _by_prefixes(nodes: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
+def _by_prefixes(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of different components among the nodes of large buckets, without forming the pairs of a bucket.
 
     With shingles ordered from rare to frequent, two sets that reach the threshold share one among the first
@@ -231,12 +244,14 @@ def _by_prefixes(nodes: DataFrame, sets: DataFrame, sketches: DataFrame) -> Data
     # how many shingles of the node come before and after this one
     posted = kept(posted.select("item", "node", "component", "n", (F.col("n") - F.col("_known") + F.col("_at")).alias("before")))
     open_ = posted.groupBy("item").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo <> _hi")
-    rows = posted.join(open_.select("item"), "item", "left_semi").join(sketches.select("node", "codes"), "node")
-    x, y = (rows.select("item", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "component", "n", "before", "codes")]) for side in "ab")
+    rows = posted.join(open_.select("item"), "item", "left_semi").join(full.select("node", parities(F.col("items")).alias("bits")), "node")
+    x, y = (rows.select("item", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "component", "n", "before", "bits")]) for side in "ab")
     # at most these can be common if this one is
     common = F.least("a_before", "b_before") + 1 + F.least(x.a_n - x.a_before - 1, y.b_n - y.b_before - 1)
     enough = common * (100 + PERCENT) >= (x.a_n + y.b_n) * PERCENT
-    return _ordered(x.join(y, (x.item == y.item) & (x.a_node < y.b_node) & (x.a_component != y.b_component) & enough & plausible("a_", "b_")))
+    differing = sum((F.bit_count(F.get(x.a_bits, k).bitwiseXOR(F.get(y.b_bits, k))) for k in range(PARITY_WORDS)), F.lit(0))
+    enough &= differing * (100 + PERCENT) <= (x.a_n + y.b_n) * (100 - PERCENT)
+    return _ordered(x.join(y, (x.item == y.item) & (x.a_node < y.b_node) & (x.a_component != y.b_component) & enough))
 
 
 def _prefixed(sketches: DataFrame, side: str) -> DataFrame:
