@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swapbook.llm import line_dedup, mixing, near_dup, quality
+from swapbook.llm import bpe, line_dedup, mixing, near_dup, quality
+from swapbook.llm.queries import tokenizer
 from swapbook.session import work_dir
 
 #: The verdicts of the rules, the near-duplicate search and the tokenizer are not expressible in SQL.
@@ -33,11 +34,17 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.curriculum(docs)
 
 
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number of tokens and digests of ids and decoded text per document of the sequence."""
+    return bpe.digests(docs, tokenizer(spark))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup_stage),
     ("near_duplicates", near_dup_stage),
     ("mixing", mixing_stage),
+    ("bpe", bpe_stage),
 ]
 
 

@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swapbook.llm import line_dedup, mixing, near_dup, quality
+from swapbook.llm import bpe, lang_id, line_dedup, mixing, near_dup, quality, toxicity
 from swapbook.llm.oracle import SQL  # noqa: F401  the SQL of these queries
 
+#: The tokenizer file; a session may name another one.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+#: Columns of ``labels`` in the order of the chain: low quality first, since junk is easier to tell.
+CATEGORIES = ["low_quality", "toxic"]
+
+# These run in Python workers; they travel with the job, so executors need not have the package installed.
+for module in (bpe, lang_id, toxicity):
+    cloudpickle.register_pickle_by_value(module)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -32,13 +42,34 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def tokenizer(spark: SparkSession) -> str:
+    return spark.conf.get("swapbook.tokenizer", TOKENIZER)
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer(spark))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    return toxicity.score(docs, toxicity.learn(docs, labels, CATEGORIES), CATEGORIES)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
     "op3_near_duplicates": op3_near_duplicates,
+    "op5_language_id": op5_language_id,
     "op6_mixing": op6_mixing,
+    "op7_bpe": op7_bpe,
+    "op8_toxicity": op8_toxicity,
 }
