@@ -8,7 +8,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swapbook.llm import bpe, lang_id, line_dedup, mixing, near_dup, quality, toxicity
+from swapbook.llm import ann, bpe, lang_id, line_dedup, mixing, near_dup, pii, quality, toxicity
 from swapbook.llm.oracle import SQL  # noqa: F401  the SQL of these queries
 
 #: The tokenizer file; a session may name another one.
@@ -17,7 +17,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 CATEGORIES = ["low_quality", "toxic"]
 
 # These run in Python workers; they travel with the job, so executors need not have the package installed.
-for module in (bpe, lang_id, toxicity):
+for module in (ann, bpe, lang_id, toxicity):
     cloudpickle.register_pickle_by_value(module)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
@@ -64,12 +68,19 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, labels, CATEGORIES), CATEGORIES)
 
 
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = spark.conf.get("swapbook.pii.key", "key of the test tables")
+    return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_language_id": op5_language_id,
     "op6_mixing": op6_mixing,
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
+    "op9_pii_surrogates": op9_pii_surrogates,
 }
