@@ -2,9 +2,11 @@
 
 A tree splits space by hyperplanes half-way between two vectors drawn at random, as in a sample of bounded size; the
 forest is fitted on the driver and broadcast. Every vector of the table is then put into one leaf of each tree. A
-query walks all trees at once: one priority queue holds the branches not taken, ordered by the least margin to a
-hyperplane on the way, and the nearest branches of any tree are followed until enough leaves are reached. Queries
-meet the vectors of their leaves by a join on the leaf, and candidates are ranked again by their exact distance.
+query walks all trees at once: one priority queue holds the branches not taken, ordered by the margin to the
+hyperplanes on the way, and the nearest branches of any tree are followed until enough leaves are reached. Queries
+meet the vectors of their leaves in cogroups of a few neighbouring leaves, where candidates are ranked by their exact
+distance; the best of each cogroup are merged. Beyond the size of the sample a leaf would grow with the table, so
+its vectors are dealt to as many blocks as the table is times the sample, and its queries go to each block.
 
 Equal vectors become one before the index is built, with the smallest ``k + 1`` of their ids: no more can be among a
 query's nearest. So a vector that a third of all rows share costs one entry, and nothing is cut that could matter.
@@ -21,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,16 +34,20 @@ from swapbook.llm.store import kept
 @dataclass(frozen=True)
 class Settings:
     k: int = 10
-    trees: int = 24
+    trees: int = 16
     #: vectors of the sample in a leaf, at most
     leaf: int = 48
     #: leaves that a query looks into, over all trees
-    probes: int = 240
+    probes: int = 1000
     #: vectors that the forest is fitted on, at most
     sample: int = 50_000
     seed: int = 7
 
 
+#: Leaves next to each other in their tree that are searched together.
+LEAVES_PER_GROUP = 16
+
+
 class Tree:
     """Hyperplanes in arrays; a child below zero is leaf ``-1 - child``."""
 
@@ -158,9 +165,29 @@ def _with_leaves(rows: DataFrame, shared, probes: int) -> DataFrame:
     return rows.mapInArrow(run, "key long, leaf long")
 
 
-def distance(a: Column, b: Column) -> Column:
-    squares = F.zip_with(a, b, lambda x, y: F.pow(x.cast("double") - y.cast("double"), F.lit(2.0)))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))
+def _ranked(k: int):
+    """Per cogroup: the nearest k + 1 entries of each query among the leaves that it looks into here."""
+
+    def run(index: pd.DataFrame, probes: pd.DataFrame) -> pd.DataFrame:
+        if not len(index) or not len(probes):
+            return pd.DataFrame({"query": [], "key": [], "score": []}).astype({"query": "int64", "key": "int64"})
+        index = index.sort_values("leaf", kind="stable")
+        leaf, keys = index["leaf"].to_numpy(), index["key"].to_numpy()
+        vectors = np.stack(index["v"].to_numpy()).astype(np.float64)
+        found = []
+        for query, rows in probes.groupby("query", sort=False):
+            wanted = rows["leaf"].to_numpy()
+            low, high = np.searchsorted(leaf, wanted), np.searchsorted(leaf, wanted, side="right")
+            at = np.concatenate([np.arange(a, b) for a, b in zip(low, high)])
+            if not len(at):
+                continue
+            away = vectors[at] - np.asarray(rows["q"].iloc[0], np.float64)
+            score = np.sqrt((away * away).sum(axis=1))
+            best = np.lexsort((keys[at], score))[: k + 1]
+            found.append(pd.DataFrame({"query": query, "key": keys[at][best], "score": score[best]}))
+        return pd.concat(found) if found else run(index[:0], probes)
+
+    return run
 
 
 def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector: str = "embedding",
@@ -182,9 +209,14 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     queries = entries.join(asked.select("key").distinct(), "key", "left_semi").select("key", "v")
     index = _with_leaves(entries.select("key", "v"), shared, 0)
     probes = _with_leaves(queries, shared, settings.probes).withColumnRenamed("key", "query")
-    pairs = probes.join(index, "leaf").select("query", "key").distinct()
-    met = pairs.join(queries.select(F.col("key").alias("query"), F.col("v").alias("_q")), "query").join(entries, "key")
-    scored = met.select("query", distance(F.col("_q"), F.col("v")).alias("score"), F.explode("ids").alias("vec_id"))
+    blocks = max(1, -(-entries.count() // settings.sample))
+    group = F.floor(F.col("leaf") / LEAVES_PER_GROUP).cast("long")
+    left = index.join(entries.select("key", "v"), "key").withColumns({"group": group, "block": F.pmod(F.xxhash64("key"), F.lit(blocks))})
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    right = probes.join(queries.select(F.col("key").alias("query"), F.col("v").alias("q")), "query").withColumns({"group": group, "block": every})
+    near = left.groupBy("group", "block").cogroup(right.groupBy("group", "block")).applyInPandas(_ranked(k), "query long, key long, score double")
+    near = near.groupBy("query", "key").agg(F.min("score").alias("score"))
+    scored = near.join(entries.select("key", "ids"), "key").select("query", "score", F.explode("ids").alias("vec_id"))
     best = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
     short = scored.withColumn("_no", best).filter(F.col("_no") <= k + 1).drop("_no")
     own = asked.select(F.col("id").alias("query_id"), F.col("key").alias("query"))
