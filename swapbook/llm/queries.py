@@ -8,7 +8,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swapbook.llm import ann, bpe, lang_id, line_dedup, mixing, near_dup, pii, quality, toxicity
+from swapbook.llm import ann, bpe, chat, lang_id, line_dedup, mixing, near_dup, pii, quality, toxicity
 from swapbook.llm.oracle import SQL  # noqa: F401  the SQL of these queries
 
 #: The tokenizer file; a session may name another one.
@@ -17,7 +17,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 CATEGORIES = ["low_quality", "toxic"]
 
 # These run in Python workers; they travel with the job, so executors need not have the package installed.
-for module in (ann, bpe, lang_id, toxicity):
+for module in (ann, bpe, chat, lang_id, toxicity):
     cloudpickle.register_pickle_by_value(module)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,24 @@ def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
 
 
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """Raw transcripts: the speaker is named in one of three styles before most turns, and in a quarter not at all."""
+    style = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4))
+    named = F.lit("")
+    for role, names in chat.MARKERS.items():
+        choice = F.when(style < 3, F.concat(F.initcap(F.get(F.array(*[F.lit(n) for n in names]), style.cast("int"))), F.lit(": ")))
+        named = F.when(F.col("role") == role, F.coalesce(choice, F.lit(""))).otherwise(named)
+    return conversations.select("conv_id", "turn", F.concat(named, F.coalesce("text", F.lit(""))).alias("text"))
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns that are recovered from raw transcripts of ``conversations``; roles serve as labels of the sample only."""
+    rows = table(spark, sf_dir, "conversations")
+    raw = transcripts(rows)
+    parsed = chat.parse(chat.lines_of(raw), chat.learn(raw, rows))
+    return chat.rendered(parsed).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -83,4 +101,5 @@ QUERIES: dict[str, Query] = {
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
     "op9_pii_surrogates": op9_pii_surrogates,
+    "op10_chat_formatting": op10_chat_formatting,
 }
