@@ -12,7 +12,7 @@ which gives the path of the whole. So a conversation of any length is never in o
 
 Defined cases: equal rows of one place (conversation, turn, text) count once; different texts at one place follow each
 other in the order of a hash; a null text is an empty line; a null conversation is one of its own, a null turn comes
-first; an unknown or null role is not learned from; without any labels all states are equally likely to begin with;
+first; an unknown or null role is not learned from, of two roles at one place the first is; without any labels all states are equally likely to begin with;
 further columns are ignored.
 """
 
@@ -110,7 +110,7 @@ def learn(transcripts: DataFrame, roles: DataFrame, conv: str = "conv_id", turn:
     """Counts over at most ``MAX_ROWS`` rows of whole conversations, picked by a hash; ``roles`` has the true ones."""
     index = F.array_position(F.array(*[F.lit(r) for r in ROLES]), F.col(role)).cast("int") - 1
     known = roles.select(F.col(conv).alias("conv"), F.col(turn).cast("long").alias("turn"), index.alias("role")).filter("role >= 0")
-    known = known.dropDuplicates(["conv", "turn"]).orderBy(F.xxhash64("conv"), "conv", "turn").limit(MAX_ROWS)
+    known = known.groupBy("conv", "turn").agg(F.min("role").alias("role")).orderBy(F.xxhash64("conv"), "conv", "turn").limit(MAX_ROWS)
     lines = lines_of(transcripts, conv, turn, text).join(known, ["conv", "turn"])
     lines = lines.withColumn("state", F.when(F.col("line_no") == 0, F.col("role")).otherwise(F.col("role") + len(ROLES)))
     order = Window.partitionBy("conv").orderBy("turn", "tie", "line_no")
