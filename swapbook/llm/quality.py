@@ -264,7 +264,8 @@ def verdicts(rows: DataFrame, estimate: DataFrame, keys: list[str], rules: Rules
     far = F.when(~F.col("base_failed"), distance())
     limit = chi_square_limit(1 - rules.tail, P)
     judged = rows.join(estimate, keys, "left").withColumn("distance", far)
-    passed = ~F.col("base_failed") & F.coalesce(F.col("distance") <= F.lit(limit), F.lit(True))
+    # one condition of both sides: a filter on it stays above the join, and the counts below are not inlined into it
+    passed = F.coalesce("distance", F.when(F.col("base_failed"), math.inf).otherwise(0.0)) <= F.lit(limit)
     return judged.withColumn("kept", passed).drop(*[c for c in estimate.columns if c not in keys])
 
 
@@ -291,6 +292,7 @@ def accepted(docs: DataFrame, text: str = "text", group: tuple[str, ...] = ("lan
     parts = own.select("_doc", F.col(f"_doc.{text}").alias("_text"), *[F.col(f"_doc.{c}").alias(f"_k{i}") for i, c in enumerate(group)])
     grouped, keys = with_group(parts, tuple(f"_k{i}" for i in range(len(group))))
     measured = _measured(grouped, "_text", rules).select("_doc", *keys, "base_failed", *STATS)
-    narrow = kept(measured.filter(~F.col("base_failed")).select(*keys, *STATS))
-    estimate = estimates(narrow, keys, rules)
+    # filtered after it is computed: below, the filter would evaluate the counts per element of a text
+    narrow = kept(measured.select(*keys, "base_failed", *STATS)).filter(~F.col("base_failed"))
+    estimate = estimates(narrow.select(*keys, *STATS), keys, rules)
     return verdicts(measured, estimate, keys, rules).filter("kept").select("_doc.*")
