@@ -9,7 +9,7 @@ a chi-square score are used.
 The models are fitted on the driver from at most ``MAX_LABELLED`` labelled documents, picked by a hash of their id
 (word hashes only, not texts); every document is scored in Spark.
 
-Defined cases: a null or wordless text has no features and gets the chance of a document without any; labels that
+Defined cases: a null or wordless text has no features and gets the chance of a document without any, and no flag; labels that
 are null, or that belong to no document, are left out; a category with one class only is predicted as its share;
 repeated documents are scored each; documents without an id are scored too.
 """
@@ -170,7 +170,7 @@ def score(docs: DataFrame, chain: Chain, categories: list[str], id_col: str = "d
             lists = batch.column(1)
             offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
             p = known.predict(Rows(lists.flatten().to_numpy(), offsets))
-            flags = [pa.array(p[:, k] >= known.limits[k]) for k in range(len(categories))]
+            flags = [pa.array((p[:, k] >= known.limits[k]) & (np.diff(offsets) > 0)) for k in range(len(categories))]
             names = ["doc_id", *[f"p_{c}" for c in categories], *categories]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(x)) for x in p.T], *flags], names)
 
