@@ -181,6 +181,8 @@ def _ranked(k: int):
             at = np.concatenate([np.arange(a, b) for a, b in zip(low, high)])
             if not len(at):
                 continue
+            # leaves of several trees can be here, which hold a vector more than once
+            at = at[np.unique(keys[at], return_index=True)[1]]
             away = vectors[at] - np.asarray(rows["q"].iloc[0], np.float64)
             score = np.sqrt((away * away).sum(axis=1))
             best = np.lexsort((keys[at], score))[: k + 1]
