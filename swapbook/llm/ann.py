@@ -174,20 +174,27 @@ def _ranked(k: int):
         index = index.sort_values("leaf", kind="stable")
         leaf, keys = index["leaf"].to_numpy(), index["key"].to_numpy()
         vectors = np.stack(index["v"].to_numpy()).astype(np.float64)
-        found = []
-        for query, rows in probes.groupby("query", sort=False):
-            wanted = rows["leaf"].to_numpy()
-            low, high = np.searchsorted(leaf, wanted), np.searchsorted(leaf, wanted, side="right")
-            at = np.concatenate([np.arange(a, b) for a, b in zip(low, high)])
+        probes = probes.sort_values("query", kind="stable")
+        asked, wanted = probes["query"].to_numpy(), probes["leaf"].to_numpy()
+        low, high = np.searchsorted(leaf, wanted), np.searchsorted(leaf, wanted, side="right")
+        begins = np.flatnonzero(np.concatenate([[True], asked[1:] != asked[:-1]]))
+        points = probes["q"].to_numpy()
+        queries, near, scores = [], [], []
+        for begin, end in zip(begins, [*begins[1:], len(asked)]):
+            at = np.concatenate([np.arange(low[i], high[i]) for i in range(begin, end)])
             if not len(at):
                 continue
             # leaves of several trees can be here, which hold a vector more than once
             at = at[np.unique(keys[at], return_index=True)[1]]
-            away = vectors[at] - np.asarray(rows["q"].iloc[0], np.float64)
+            away = vectors[at] - np.asarray(points[begin], np.float64)
             score = np.sqrt((away * away).sum(axis=1))
             best = np.lexsort((keys[at], score))[: k + 1]
-            found.append(pd.DataFrame({"query": query, "key": keys[at][best], "score": score[best]}))
-        return pd.concat(found) if found else run(index[:0], probes)
+            queries.append(np.full(len(best), asked[begin]))
+            near.append(keys[at][best])
+            scores.append(score[best])
+        if not queries:
+            return run(index[:0], probes)
+        return pd.DataFrame({"query": np.concatenate(queries), "key": np.concatenate(near), "score": np.concatenate(scores)})
 
     return run
 
@@ -218,6 +225,9 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     right = probes.join(queries.select(F.col("key").alias("query"), F.col("v").alias("q")), "query").withColumns({"group": group, "block": every})
     near = left.groupBy("group", "block").cogroup(right.groupBy("group", "block")).applyInPandas(_ranked(k), "query long, key long, score double")
     near = near.groupBy("query", "key").agg(F.min("score").alias("score"))
+    # an entry's least id is its key, so an id among the nearest k + 1 lies in one of the nearest k + 1 entries
+    ahead = F.row_number().over(Window.partitionBy("query").orderBy("score", "key"))
+    near = near.withColumn("_no", ahead).filter(F.col("_no") <= k + 1).drop("_no")
     scored = near.join(entries.select("key", "ids"), "key").select("query", "score", F.explode("ids").alias("vec_id"))
     best = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
     short = scored.withColumn("_no", best).filter(F.col("_no") <= k + 1).drop("_no")
