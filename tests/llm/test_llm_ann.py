@@ -1,0 +1,69 @@
+"""Nearest neighbours against all distances."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from swapbook.llm import ann
+
+TABLES = "/root/testdata/sf0.01"
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, queries, k):
+    ids, vectors = np.array([i for i, _ in rows]), np.array([v for _, v in rows], np.float32).astype(float)
+    out = {}
+    for q in queries:
+        away = vectors - vectors[ids == q][0]
+        score = np.sqrt((away * away).sum(axis=1))
+        order = [i for i in np.lexsort((ids, score)) if ids[i] != q][:k]
+        out[q] = [(int(ids[i]), float(score[i])) for i in order]
+    return out
+
+
+def found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        assert r["rank"] == len(out.setdefault(r.query_id, [])) + 1
+        out[r.query_id].append((r.vec_id, r.score))
+    return out
+
+
+def test_recall_on_the_whole_table(spark):
+    df = spark.read.parquet(f"{TABLES}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in ann.usable(df, "vec_id", "embedding").toDF("vec_id", "embedding").collect()]
+    truth = brute(rows, [i for i, _ in rows if i % 100 == 0], 10)
+    got = found(ann.nearest(df, F.col("id") % 100 == 0))
+    assert got.keys() == truth.keys() and all(len(x) == 10 for x in got.values())
+    hits = sum(len({i for i, _ in truth[q]} & {i for i, _ in got[q]}) for q in truth)
+    assert hits >= 0.9 * 10 * len(truth)
+
+
+def test_small_tables_are_exact(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got, truth = found(ann.nearest(df, F.col("id") % 20 == 0)), brute(rows, [0, 20], 10)
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in truth.items()}
+    assert all(abs(a[1] - b[1]) < 1e-12 for q in got for a, b in zip(got[q], truth[q]))
+
+
+def test_blocks_and_small_leaves(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(900)]
+    settings = ann.Settings(trees=4, leaf=8, probes=10_000, sample=100)
+    got = found(ann.nearest(spark.createDataFrame(rows, SCHEMA), F.col("id") % 100 == 0, settings=settings))
+    truth = brute(rows, range(0, 900, 100), 10)  # all leaves are probed
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in truth.items()}
+
+
+def test_defined_cases(spark):
+    same = [1.0, 2.0]
+    rows = [(i, same) for i in range(30)] + [(100, [1.0, 2.5]), (100, [1.0, 2.5]), (200, None), (201, [0.0, 0.0])]
+    rows += [(300, [float("nan"), 1.0]), (301, [float("inf"), 1.0]), (302, [None, 1.0]), (303, []), (304, [1.0]), (None, same)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"id": F.lit(5), "v": F.lit(1), "_query": F.lit(False)})
+    got = found(ann.nearest(df, F.col("id") % 100 == 0))
+    assert got == {0: [(i, 0.0) for i in range(1, 11)], 100: [(i, 0.5) for i in range(10)]}
+    few = spark.createDataFrame([(0, same), (1, [2.0, 2.0])], SCHEMA)
+    assert found(ann.nearest(few, F.col("id") % 100 == 0)) == {0: [(1, 1.0)]}
+    assert found(ann.nearest(few.limit(0), F.col("id") % 100 == 0)) == {}
+    assert found(ann.nearest(few.filter("vec_id = 0"), F.col("id") % 100 == 0)) == {}

@@ -1,0 +1,85 @@
+"""The pipeline against plain Python, stage by stage on what the one before wrote."""
+
+import collections
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from swapbook.llm import mixing, quality
+from swapbook.llm.queries import TOKENIZER
+from test_llm_near_dup import brute
+
+TABLES = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("stages")
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, out[-1], TABLES).write.parquet(f"{folder}/{name}")
+        out.append(spark.read.parquet(f"{folder}/{name}"))
+    return out
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_columns(stages):
+    assert all(s.columns == stages[0].columns for s in stages[:-1])
+
+
+def test_rules_and_lines(stages):
+    docs, passed, cleaned = stages[:3]
+    ids = {r.doc_id for r in quality.assess(docs).filter("kept").collect()}
+    assert sorted(rows(passed)) == sorted(r for r in rows(docs) if r[0] in ids)
+    pages, often = collections.Counter(), collections.Counter()
+    for r in passed.collect():
+        pages[r.source] += 1
+        often.update((r.source, x) for x in set((r.text or "").split("\n")) if x.strip(" \t\n\x0b\x0c\r"))
+
+    def clean(r):
+        kept = [x for x in r.text.split("\n") if not (pages[r.source] >= 5 and often[r.source, x] >= 5 and often[r.source, x] > 0.1 * pages[r.source])]
+        return "\n".join(kept)
+
+    assert {r.doc_id: r.text for r in cleaned.collect()} == {r.doc_id: clean(r) for r in passed.collect()}
+    assert cleaned.filter(F.length("text") != F.col("n_chars")).count() == 0
+
+
+def test_near_duplicates_and_mix(stages):
+    cleaned, single, mixed = stages[2:5]
+    truth = brute([(r.doc_id, r.text) for r in cleaned.collect()])
+    assert sorted(r.doc_id for r in single.collect()) == sorted(i for i, (_, _, kept) in truth.items() if kept)
+    taken = {r.doc_id: r.taken // r["size"] if r["size"] else 0 for r in mixing.mix(single).collect()}
+    assert collections.Counter(r.doc_id for r in mixed.collect()) == +collections.Counter(taken)
+
+
+def test_tokens(stages):
+    mixed, last = stages[4:]
+    library = Tokenizer.from_file(TOKENIZER)
+    texts = {r.doc_id: r.text for r in mixed.collect()}
+    seen = collections.Counter()
+    for r in last.collect():
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        seen[r.doc_id] += 1
+    assert seen == collections.Counter(r.doc_id for r in mixed.collect())
+
+
+def test_run_gives_the_rows_of_the_stages(spark, stages):
+    assert sorted(rows(corpus_pipeline.run(spark, TABLES))) == sorted(rows(stages[-1]))
+
+
+def test_empty_null_and_further_columns(spark):
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    odd = spark.createDataFrame([(-1, None, None, None, None), (None, "a b", None, None, 3), (-2, "", "en", "x", 0)], docs.schema)
+    for frame in (docs.limit(0), docs.limit(30).unionByName(odd).withColumns({"_doc": F.lit(1), "kept": F.lit(2), "node": F.lit(3)})):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, frame, TABLES)
+            assert out.columns == frame.columns or name == "bpe"
+            out.collect()
