@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from swapbook.llm import ship
 from swapbook.llm.store import kept
 
 
@@ -152,7 +153,7 @@ def _with_leaves(rows: DataFrame, shared, probes: int) -> DataFrame:
     """(key, leaf): where a vector lies (``probes`` 0), or where a query looks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = shared.value
+        forest = ship.received(shared)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -213,7 +214,7 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
 
     sample = entries.select("key", "v").orderBy(F.xxhash64("key"), "key").limit(settings.sample).toArrow()
     points = _matrix(sample.column("v").combine_chunks())
-    shared = vectors.sparkSession.sparkContext.broadcast(Forest(points, settings))
+    shared = ship.broadcast(vectors.sparkSession.sparkContext, Forest(points, settings))
 
     queries = entries.join(asked.select("key").distinct(), "key", "left_semi").select("key", "v")
     index = _with_leaves(entries.select("key", "v"), shared, 0)

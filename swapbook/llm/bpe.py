@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from swapbook.llm import ship
+
 SPACE = r"\p{White_Space}"
 WORDS = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|{SPACE}+(?![^{SPACE}])|{SPACE}+"
@@ -154,12 +156,12 @@ def parts(texts: list[str | None]) -> Iterator[slice]:
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array of int) and ``decoded`` (the text of these ids)."""
     with open(path, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(ByteBpe(file.read()))
+        shared = ship.broadcast(docs.sparkSession.sparkContext, ByteBpe(file.read()))
     own = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value  # one per worker process, with its tables, for all the tasks it runs
+        model = ship.received(shared)  # one per worker process, with its tables, for all the tasks it runs
         for batch in batches:
             for part in parts(batch.column(own.index(text)).to_pylist()):
                 rows = batch.slice(part.start, part.stop - part.start)

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from swapbook.llm import ship
 from swapbook.llm.store import kept
 
 ROLES = ("system", "user", "assistant")
@@ -148,7 +149,7 @@ def _seams(blocks: DataFrame, shared) -> DataFrame:
 
     def reduced(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         observed = rows.sort_values(ORDER, na_position="first")["seen"].to_numpy()
-        model = shared.value
+        model = ship.received(shared)
         begin = model.start + model.show[:, observed[0]]
         for o in observed[1:]:
             begin = (begin[:, None] + model.move).max(axis=0) + model.show[:, o]
@@ -164,7 +165,7 @@ def _seams(blocks: DataFrame, shared) -> DataFrame:
 
 def parse(lines: DataFrame, model: Model) -> DataFrame:
     """(conv, turn_no, role, line_no, line): the lines with the turns they belong to, markers taken off."""
-    shared = lines.sparkSession.sparkContext.broadcast(model)
+    shared = ship.broadcast(lines.sparkSession.sparkContext, model)
     kind = lines.schema["conv"].dataType.simpleString()
     blocks = lines.withColumn("block", F.floor(F.coalesce("turn", F.lit(0).cast("long")) / BLOCK).cast("long"))
     seams = _seams(blocks.select("conv", "block", *ORDER, "seen"), shared).withColumnsRenamed({"conv": "_conv", "block": "_block"})
@@ -174,7 +175,7 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
         rows = rows.sort_values(ORDER, na_position="first").reset_index(drop=True)
         before, last = rows["before"].iloc[0], rows["last"].iloc[0]
         fixed = [-1 if pd.isna(x) else int(x) for x in (before, last)]
-        states = shared.value.path(rows["seen"].to_numpy(), *fixed)
+        states = ship.received(shared).path(rows["seen"].to_numpy(), *fixed)
         begins = states < len(ROLES)
         return pd.DataFrame({
             "conv": rows["conv"], "block": rows["block"], "at": np.arange(len(rows)), "line": rows["line"],

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from swapbook.llm import ship
+
 BUCKETS = 1 << 15
 ORDERS = 3
 SMOOTHING = 0.5
@@ -125,13 +127,13 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` without its text, with ``lang_pred`` and ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = ship.broadcast(docs.sparkSession.sparkContext, model)
     others = [c for c in docs.columns if c != text]
     usable = docs.select(*others, F.when(has_letter(F.col(text)), F.col(text)).alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in usable.schema.fields if f.name != "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = ship.received(shared)
         for batch in batches:
             texts = batch.column(len(others)).to_pylist()
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))

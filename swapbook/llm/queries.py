@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swapbook.llm import ann, bpe, chat, lang_id, line_dedup, mixing, near_dup, pii, quality, toxicity
+from swapbook.llm import ann, bpe, chat, lang_id, line_dedup, mixing, near_dup, pii, quality, ship, toxicity
 from swapbook.llm.oracle import SQL  # noqa: F401  the SQL of these queries
 
 #: The tokenizer file; a session may name another one.
@@ -18,7 +17,7 @@ CATEGORIES = ["low_quality", "toxic"]
 
 # These run in Python workers; they travel with the job, so executors need not have the package installed.
 for module in (ann, bpe, chat, lang_id, toxicity):
-    cloudpickle.register_pickle_by_value(module)
+    ship.by_value(module.__name__)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from swapbook.llm import ship
 from swapbook.llm.text import whole
 
 FEATURES = 1 << 18
@@ -160,12 +161,12 @@ def learn(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
 
 def score(docs: DataFrame, chain: Chain, categories: list[str], id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ``p_<category>`` and the flag ``<category>`` of each document."""
-    shared = docs.sparkSession.sparkContext.broadcast(chain)
+    shared = ship.broadcast(docs.sparkSession.sparkContext, chain)
     kind = docs.schema[id_col].dataType.simpleString()
     fields = [f"p_{c} double" for c in categories] + [f"{c} boolean" for c in categories]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = ship.received(shared)
         for batch in batches:
             lists = batch.column(1)
             offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
