@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swapbook.llm import ann, bpe, chat, lang_id, line_dedup, mixing, near_dup, pii, quality, ship, toxicity
+from swapbook.llm import ann, bpe, chat, lang_id, line_dedup, mixing, near_dup, pii, quality, ship, token_files, toxicity
 from swapbook.llm.oracle import SQL  # noqa: F401  the SQL of these queries
+from swapbook.session import work_dir
 
-#: The tokenizer file; a session may name another one.
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+#: The tokenizer, one of the public ones on this machine; a session may name another file.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: Columns of ``labels`` in the order of the chain: low quality first, since junk is easier to tell.
 CATEGORIES = ["low_quality", "toxic"]
 
 # These run in Python workers; they travel with the job, so executors need not have the package installed.
-for module in (ann, bpe, chat, lang_id, toxicity):
+for module in (ann, bpe, chat, lang_id, token_files, toxicity):
     ship.by_value(module.__name__)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +92,13 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered(parsed).withColumnRenamed("conv", "conv_id")
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written into the shared folder, then read back."""
+    folder = work_dir(spark, "tokens")
+    token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer(spark))
+    return token_files.read(spark, folder)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -101,4 +110,5 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_chat_formatting": op10_chat_formatting,
+    "op13_token_files": op13_token_files,
 }
