@@ -26,6 +26,7 @@ an empty table makes no file. A document is never cut, so a file is at least as
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -48,92 +49,118 @@ MAGIC = "DAC1"
 FILE_TOKENS = 1 << 22
 #: The id that ends a document.
 END = 2
-#: Pieces that a worker remembers, and the longest of them.
-TABLE, LONGEST = 400_000, 48
+#: Pieces that a worker remembers twice over, and the longest of them.
+TABLE, LONGEST = 300_000, 64
 
-# Characters that the pattern of the tokenizer takes for white space; Python's own class has a few more.
-_WHITE = "\\t-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# Characters besides the space that the pattern of the tokenizer takes for white space; Python's own class has a few more.
+_WHITE = "\t\n\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Runs of white space other than one single space.
 _RUNS = re.compile(f"([{_WHITE} ]{{2,}}|[{_WHITE}])")
+#: What a text of words, single spaces and line ends does not have.
+_ODD = ("  ", " \n", "\n\n\n", "\n\n ", *_WHITE.replace("\n", ""))
 
 
 class Encoder:
-    """Ids of whole texts as little-endian bytes, by the tokenizers library and a table of known pieces."""
+    """Ids of whole texts as little-endian bytes, by the tokenizers library and a table of known pieces.
+
+    A key of the table is a word that stands after a space, a line end with the word behind it (or with none), or
+    another run of white space in a tuple. The table has two generations: pieces that were not met again since the
+    last one began are forgotten.
+    """
 
     def __init__(self, spec: str):
         self.spec, self.library = spec, None
-        self.alone: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        if self.library is None:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's cores are Spark's
-            from tokenizers import Tokenizer
-
-            self.library = Tokenizer.from_str(self.spec)
-            self.library.no_truncation()
-            self.library.no_padding()
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(pieces, add_special_tokens=False)]
-
-    def _known(self, table: dict[str, bytes], wanted: set[str], prefix: str) -> dict[str, bytes]:
-        """A table that has all the wanted pieces."""
-        new = [w for w in wanted if w not in table]
-        if new:
-            if len(table) + len(new) > TABLE:
-                table.clear()
-                new = list(wanted)
-            table.update(zip(new, self._encode([prefix + w for w in new])))
-        return table
+        self.added = [t["content"] for t in json.loads(spec)["added_tokens"]]
+        self.odd = (*_ODD, *self.added)
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.library.encode_batch(texts, add_special_tokens=False)]
+
+    def _start(self) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's cores are Spark's
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_str(self.spec)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.newline = self._library(["\n"])[0].tobytes()
+
+    def _learn(self, keys: set) -> None:
+        """Put these keys into the young table."""
+        young, old = self.young, self.old
+        new = []
+        for key in keys:
+            if (known := old.get(key)) is not None:
+                young[key] = known
+            else:
+                new.append(key)
+        single = [k for k in new if isinstance(k, tuple) or k in ("", "\n") or any(a in k for a in self.added)]
+        texts = [k[0] if isinstance(k, tuple) else k if k[:1] == "\n" else " " + k for k in single]
+        young.update(zip(single, (x.tobytes() for x in self._library(texts))))
+        # many pieces in one text: a line end parts them, and no piece has its id
+        alone = set(single)
+        many = [k for k in new if k not in alone]
+        parts = [many[i : i + 512] for i in range(0, len(many), 512)]
+        line = np.frombuffer(self.newline, "<u4")[0]
+        for part, ids in zip(parts, self._library(["".join(k if k[0] == "\n" else "\n " + k for k in p) for p in parts])):
+            at = np.flatnonzero(ids == line)
+            assert len(at) == len(part)
+            data, ends = ids.tobytes(), np.append(at[1:], len(ids)) * 4
+            # a key that begins with a line end has its id before the word
+            begins = at * 4 + 4
+            young.update({k: data[b - 4 if k[0] == "\n" else b : e] for k, b, e in zip(part, begins.tolist(), ends.tolist())})
+
+    def _pieces(self, text: str) -> list[tuple]:
+        """(key, bytes to leave out) of the pieces of any text without added tokens."""
+        found, joined = [], False
+        parts = _RUNS.split(text)
+        for at, part in enumerate(parts):
+            if at % 2 and at == len(parts) - 2 and not parts[-1]:
+                found.append(((part,), 0))
+            elif at % 2:  # the last character of a run stands alone, or with the next word if it is a space
+                joined = part[-1] == " "
+                found += [((p,), 0) for p in (part[:-1], "" if joined else part[-1]) if p]
+            elif part:
+                words = part.split(" ")
+                if not joined:
+                    first = words.pop(0)
+                    found += [("\n" + first, len(self.newline))] if first else []
+                found += [(w or (" ",), 0) for w in words]
+                joined = False
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plans, alone, spaced = [], set(), set()
+        if self.library is None:
+            self._start()
+        if len(self.young) > TABLE:
+            self.young, self.old = {}, self.young
+        young = self.young
+        plans, wanted = [], set()
         for text in texts:
-            plan = []
-            parts = _RUNS.split(text)
-            joined = False  # whether the run before ends with the space of the next word
-            for at, part in enumerate(parts):
-                if at % 2:
-                    last = at == len(parts) - 2 and not parts[-1]
-                    joined = not last and part[-1] == " "
-                    if last:
-                        plan.append((part, None))
-                    elif len(part) > 1:
-                        plan.append((part[:-1], None))
-                    if not last and not joined:
-                        plan.append((part[-1], None))
-                elif part:
-                    words = part.split(" ")
-                    # an empty first word: the text begins with a single space
-                    first = None if joined or not words[0] else words[0]
-                    rest = words if joined else words[1:]
-                    plan.append((first, rest))
-                    spaced.update(rest)
-                    joined = False
-                    if first is not None:
-                        alone.add(first)
-                    continue
-                else:
-                    continue
-                alone.update(p for p, _ in plan[-2:] if p is not None)
-            plans.append(plan)
-        short = lambda pieces: {p for p in pieces if len(p) <= LONGEST}
-        first, rest = self._known(self.alone, short(alone), ""), self._known(self.spaced, short(spaced), " ")
-        long_ = [p for p in alone if len(p) > LONGEST] + [" " + p for p in spaced if len(p) > LONGEST]
-        if long_:  # looked up, but not kept
-            extra = dict(zip(long_, self._encode(long_)))
-            get_alone = lambda p: first[p] if len(p) <= LONGEST else extra[p]
-            get_spaced = lambda p: rest[p] if len(p) <= LONGEST else extra[" " + p]
-        else:
-            get_alone, get_spaced = first.__getitem__, rest.__getitem__
+            if any(a in text for a in self.added):
+                plans.append((0, text))
+            elif text.endswith((" ", "\n\n")) or any(o in text for o in self.odd):
+                pieces = self._pieces(text)
+                wanted.update(k for k, _ in pieces if k not in young)
+                plans.append((1, pieces))
+            else:
+                words = text.replace("\n", " \n").split(" ")
+                words[0] = "\n" + words[0]  # nothing stands before it: the line end is taken off again
+                wanted.update([w for w in words if w not in young])
+                plans.append((2, words))
+        self._learn(wanted)
         found = []
-        for plan in plans:
-            ids = []
-            for piece, words in plan:
-                if piece is not None:
-                    ids.append(get_alone(piece))
-                if words:
-                    ids += map(get_spaced, words)
-            found.append(b"".join(ids))
+        for kind, plan in plans:
+            if kind == 0:
+                found.append(self._library([plan])[0].tobytes())
+            elif kind == 1:
+                found.append(b"".join([young[k][skip:] for k, skip in plan]))
+            else:
+                found.append(b"".join(map(young.__getitem__, plan))[len(self.newline) :])
+        for key in [k for k in wanted if len(k if isinstance(k, str) else k[0]) > LONGEST]:
+            del young[key]
         return found
 
 
