@@ -77,4 +77,24 @@ SELECT doc_id, size, source_size, target,
 FROM shares
 """
 
-SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP, "op6_mixing": MIXING}
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS alike, b.vec_id, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id, positive_score,
+  n.score AS negative_score
+FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.alike
+  AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op11_hard_negatives": HARD_NEGATIVES}

@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swapbook.llm import ann, bpe, chat, lang_id, line_dedup, mixing, near_dup, pii, quality, ship, token_files, toxicity
+from swapbook.llm import (
+    ann,
+    bpe,
+    chat,
+    hard_negatives,
+    lang_id,
+    line_dedup,
+    mixing,
+    near_dup,
+    pii,
+    quality,
+    ship,
+    token_files,
+    toxicity,
+    whitening,
+)
 from swapbook.llm.oracle import SQL  # noqa: F401  the SQL of these queries
 from swapbook.session import work_dir
 
@@ -18,7 +33,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 CATEGORIES = ["low_quality", "toxic"]
 
 # These run in Python workers; they travel with the job, so executors need not have the package installed.
-for module in (ann, bpe, chat, lang_id, token_files, toxicity):
+for module in (ann, bpe, chat, hard_negatives, lang_id, token_files, toxicity, whitening):
     ship.by_value(module.__name__)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +107,16 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered(parsed).withColumnRenamed("conv", "conv_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("id") % 100 == 0)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written into the shared folder, then read back."""
     folder = work_dir(spark, "tokens")
@@ -110,5 +135,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_whitening": op12_whitening,
     "op13_token_files": op13_token_files,
 }

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from swapbook.session import checkpointed
+from swapbook.session import checkpointed, work_dir
 
 
 def kept(df: DataFrame) -> DataFrame:
     """``df`` computed once; the copy in ``spark.checkpoint.dir`` outlives a lost executor."""
     return checkpointed(df)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same as a Parquet table, for rows that are read several times and compress well."""
+    path = work_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

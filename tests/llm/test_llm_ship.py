@@ -24,6 +24,7 @@ for name in {names!r}:
 """
 NAMES = [
     "op4_nearest_neighbours", "op5_language_id", "op7_bpe", "op8_toxicity", "op10_chat_formatting",
+    "op11_hard_negatives", "op12_whitening", "op13_token_files",
 ]
 
 

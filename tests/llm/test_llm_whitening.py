@@ -1,0 +1,118 @@
+"""Whitening against plain linear algebra."""
+
+import math
+from types import SimpleNamespace
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from swapbook.llm import whitening as w
+
+TABLES = "/root/testdata/sf0.1"
+
+
+def brute(rows):
+    """(n, S, eigenvalues, vectors as columns, trace) of [(id, vector)] that are all usable."""
+    x = np.array(sorted({tuple(math.floor(64 * float(c)) + 1_000_000 for c in v) for _, v in rows}), dtype=object)
+    n, sums = len(x), x.sum(axis=0)
+    centred = ((x * n - sums) / n).astype(float)
+    e, vectors = np.linalg.eigh(centred.T @ centred / n)
+    return n, sums, e[::-1], vectors[:, ::-1], e.sum()
+
+
+def compare(found, rows, most=16, tight=1e-9):
+    n, sums, e, vectors, trace = brute(rows)
+    k = min(most, int((e > e[0] * 1e-13).sum()))
+    by = {}
+    for r in found:
+        by.setdefault(r.component, {})[r.vec_id] = r
+    assert sorted(by) == list(range(1, k + 1))
+    ids = [i for i, _ in rows]
+    x = np.array([[math.floor(64 * float(c)) + 1_000_000 for c in v] for _, v in rows], dtype=object)
+    dev = x * n - sums
+    exact = dict(zip(ids, (dev * dev).sum(axis=1)))
+    for c in range(1, k + 1):
+        got = np.array([by[c][i].whitened for i in ids])
+        want = (dev / n).astype(float) @ vectors[:, c - 1] / math.sqrt(e[c - 1])
+        sign = 1 if got @ want > 0 else -1
+        assert np.abs(got * sign - want).max() < tight * 1e3
+        one = by[c][ids[0]]
+        assert all(by[c][i].n == n and by[c][i].deviation == exact[i] for i in ids)
+        assert one.explained == pytest.approx(e[c - 1] / trace, rel=1e-9) and one.identity_error < 1e-9
+
+
+def test_whole_table(spark):
+    table = spark.read.parquet(f"{TABLES}/embeddings.parquet")
+    compare(w.whitened(table).collect(), [(r.vec_id, r.embedding) for r in table.collect()])
+
+
+@pytest.mark.parametrize("d", [1, 2, 3, 10, 70])
+def test_solver(d):
+    rng = np.random.default_rng(d)
+    for kind in ("random", "graded", "deficient", "equal", "diagonal", "pairs"):
+        a = rng.standard_normal((3 * d, d))
+        if kind == "graded":
+            a = a * 10.0 ** -np.linspace(0, 12, d)
+        elif kind == "deficient":
+            a[:, : d // 2] = a[:, d - d // 2 :]
+        elif kind == "equal":
+            a = np.linalg.qr(a)[0] * 3
+        elif kind == "diagonal":
+            a = np.vstack([np.diag(np.arange(1.0, d + 1)), np.zeros((2 * d, d))])
+        elif kind == "pairs":
+            q, p = np.linalg.qr(a)[0], np.linalg.qr(rng.standard_normal((d, d)))[0]
+            a = q * (1.0 + np.arange(d) // 2 + 1e-9 * (np.arange(d) % 2)) @ p
+        values, vectors, total = w.components(w.triangular(a), d)
+        want = np.linalg.svd(a, compute_uv=False) ** 2
+        k = len(values)
+        assert k >= d - d // 2 and total == pytest.approx((a * a).sum())
+        assert values == pytest.approx(want[:k], rel=1e-10 if kind != "graded" else 1e-2, abs=1e-13 * want[0])
+        assert np.abs(vectors.T @ vectors - np.eye(k)).max() < 1e-10, kind
+        assert np.abs(a.T @ (a @ vectors) - vectors * values).max() < 1e-11 * want[0] * d, kind
+
+
+def test_small_values_are_accurate():
+    """A bidiagonal matrix defines all its singular values to full relative accuracy."""
+    d = 12
+    diagonal, above = 10.0 ** -np.arange(d), 0.3 * 10.0 ** -np.arange(d - 1)
+    values = w.eigenvalues((diagonal**2).tolist(), (above**2).tolist())
+    product = float(np.prod(np.array(values) / diagonal**2))
+    assert product == pytest.approx(1, rel=1e-12)  # the determinant is that of the diagonal
+
+
+def test_merging_factors(spark, monkeypatch):
+    monkeypatch.setattr(w, "BLOCK", 7)
+    monkeypatch.setattr(w, "FAN_IN", 3)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.standard_normal(5).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(23)
+    compare(w.whitened(df).collect(), rows)
+
+
+def test_large_numbers():
+    x = np.array([[1 << 39, 5], [-(1 << 39), 7]], np.int64)
+    dev = w.deviations(x, 1 << 30, [0, 12])
+    assert dev.tolist() == [[1 << 69, (5 << 30) - 12], [-(1 << 69), (7 << 30) - 12]]
+    assert w.squares(dev) == [None, None]
+    assert w.squares(np.array([[3, 4]], np.int64)) == [25]
+    assert w.squares(np.array([[1 << 31, 1 << 31], [1, 2]], np.int64)) == [None, 5]
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [0.5, -1.0]), (4, [3.0, 0.25]), (4, [3.0, 0.25]), (None, [2.0, 2.0])]
+    odd = [(5, None), (6, [None, 1.0]), (7, [nan, 1.0]), (8, [inf, 1.0]), (9, [-inf, 0.0]), (10, []), (11, [1.0]), (12, [1.0, 2.0, 3.0]), (13, [1e30, 0.0])]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").withColumns({"x": F.lit(1), "component": F.lit(2), "v": F.lit(3)})
+    found = w.whitened(df).collect()
+    assert sorted((r.vec_id or 0, r.component) for r in found) == sorted((i or 0, c) for i, _ in rows for c in (1, 2))
+    distinct = [(1, [1.0, 2.0]), (3, [0.5, -1.0]), (4, [3.0, 0.25]), (0, [2.0, 2.0])]
+    compare([SimpleNamespace(**(r.asDict() | {"vec_id": r.vec_id or 0})) for r in found], distinct)
+
+
+def test_without_variance(spark):
+    for rows in ([], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.001, 2.001])]):
+        assert w.whitened(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).count() == 0
+    # a direction without variance is no component
+    line = spark.createDataFrame([(i, [float(i), 2.0 * i, 1.0]) for i in range(20)], "vec_id long, embedding array<double>")
+    assert {r.component for r in w.whitened(line).collect()} == {1}
