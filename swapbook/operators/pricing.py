@@ -162,6 +162,41 @@ def with_fx_part(priced: DataFrame) -> DataFrame:
     )
 
 
+#: Amounts that are summed up; out of range they are unknown.
+PART = "decimal(28,6)"
+
+
+def value_parts(legs: DataFrame) -> DataFrame:
+    """Add the parts that make up a value at any rates: usd_part + own_part / rate(xccy) + other_part / rate(other_ccy).
+
+    ``legs`` are the result of ``leg_values`` and carry xccy. other_ccy is the second currency outside USD, or USD when
+    there is none. ``known`` is false, and the parts are zero, where a leg could not be valued.
+    """
+    pays, receives = F.col("payccy"), F.col("receiveccy")
+    amount, counts = F.col("_amount"), F.col("_amount").isNotNull()
+    second = F.when(counts & (pays != BASE_CCY) & (receives != BASE_CCY) & (receives != pays), receives).otherwise(BASE_CCY)
+    known = ~counts | (F.col("_pay").isNotNull() & F.col("_receive").isNotNull())
+
+    def part(ccy: Column) -> Column:
+        received = F.when(receives == ccy, F.col("_receive")).otherwise(F.lit(0.0))
+        paid = F.when(pays == ccy, F.col("_pay")).otherwise(F.lit(0.0))
+        return F.when(counts, amount * (received - paid)).otherwise(F.lit(0.0)).try_cast(PART)
+
+    sided = _with_sides(legs).withColumns({"_known": known, "_second": second})
+    other = F.when(F.col("_second") == BASE_CCY, F.lit(0.0).cast(PART)).otherwise(part(F.col("_second")))
+    split = sided.withColumns({"_usd": part(F.lit(BASE_CCY)), "_own": part(F.col("xccy")), "_other": other})
+    whole = F.col("_known") & F.col("_usd").isNotNull() & F.col("_own").isNotNull() & F.col("_other").isNotNull()
+    zero = F.lit(0).cast(PART)
+    parts = F.struct(
+        F.when(whole, F.col("_usd")).otherwise(zero).alias("usd_part"),
+        F.when(whole, F.col("_own")).otherwise(zero).alias("own_part"),
+        F.when(whole, F.col("_other")).otherwise(zero).alias("other_part"),
+        F.col("_second").alias("other_ccy"),
+        whole.alias("known"),
+    )
+    return split.select(*legs.columns, F.inline(F.array(parts)))
+
+
 def price_with_rates(
     trades: DataFrame,
     curve: DataFrame,
@@ -218,5 +253,6 @@ __all__ = [
     "price_with_rates",
     "split_priced",
     "value_from_legs",
+    "value_parts",
     "with_fx_part",
 ]

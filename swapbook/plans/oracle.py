@@ -52,14 +52,21 @@ _TICK = f"""tick AS (
 _FX = "fx AS (SELECT date, base, price, arg_max(rate, seq) AS rate FROM tick GROUP BY date, base, price)"
 
 # message versions in force when the last tick of a currency and day arrived
-_REVALUED = """closing AS (
+_VERSION = """version AS MATERIALIZED (
+  SELECT *, lead(seq) OVER (PARTITION BY xccy, id ORDER BY seq) AS next_seq FROM message)"""
+_REVALUED = f"""{_VERSION}, closing AS MATERIALIZED (
   SELECT price, seq // 86400000000 AS day_no, max(seq) AS tick_seq, arg_max(date, seq) AS as_of, arg_max(rate, seq) AS rate
   FROM tick GROUP BY price, seq // 86400000000),
-in_force AS (
-  SELECT c.tick_seq, c.as_of, c.rate, m.xccy, m.id, max(m.seq) AS seq
-  FROM closing c JOIN message m ON m.xccy = c.price AND m.seq < c.tick_seq GROUP BY ALL),
-src AS (
-  SELECT f.tick_seq, f.as_of, f.rate, m.* FROM in_force f JOIN message m ON m.xccy = f.xccy AND m.id = f.id AND m.seq = f.seq)"""
+src AS MATERIALIZED (
+  SELECT c.tick_seq, c.as_of, c.rate, v.* EXCLUDE (next_seq)
+  FROM closing c JOIN version v ON v.xccy = c.price AND v.seq < c.tick_seq AND coalesce(v.next_seq, c.tick_seq) >= c.tick_seq)"""
+
+# message versions that the ticks of a currency and date can see
+_SEEN = f"""{_VERSION}, span AS MATERIALIZED (
+  SELECT price, date, min(seq) AS first_seq, max(seq) AS last_seq FROM tick GROUP BY price, date),
+src AS MATERIALIZED (
+  SELECT s.date AS as_of, v.* FROM span s
+  JOIN version v ON v.xccy = s.price AND v.seq < s.last_seq AND coalesce(v.next_seq, s.first_seq) >= s.first_seq)"""
 
 _PRICED_AT = """src AS (
   SELECT t.*, DATE '2024-01-15' AS as_of, x.rate FROM trade t LEFT JOIN fx x ON x.date = DATE '2024-01-15' AND x.price = t.xccy)"""
@@ -68,7 +75,7 @@ _PRICED_AT = """src AS (
 def _legs(day_count: str) -> str:
     years = "(days // 360)" if day_count == "whole_years" else "(days / 360.0::DOUBLE)"
     return f"""{_TENOR}, {_CURVE},
-point AS (SELECT term, days, rate, 1 / (1 + rate * {years}) AS df FROM curve),
+point AS MATERIALIZED (SELECT term, days, rate, 1 / (1 + rate * {years}) AS df FROM curve),
 shape AS (
   SELECT s.*, n, date_diff('day', sd, md) // n AS np, date_diff('day', sd, as_of) AS e
   FROM (SELECT DISTINCT frequency, settlementdate AS sd, maturitydate AS md, as_of FROM src) s JOIN tenor ON term = frequency),
@@ -87,7 +94,7 @@ reset AS (
 forward AS (
   SELECT frequency, sd, md, as_of, coalesce(min(s0 + q * n) FILTER (s0 + q * n >= 0), max(s0 + np * n)) AS s
   FROM reset, unnest(range(0, np + 1)) u(q) GROUP BY frequency, sd, md, as_of),
-leg AS (
+leg AS MATERIALIZED (
   SELECT l.frequency, l.sd, l.md, l.as_of, l.n, l.np, l.e,
     CASE WHEN m.wanted IS NULL THEN p.fr * 0 + 1 WHEN m.wanted = m.known THEN p.fr * m.total + (1 + m.last_df) END AS fixed_leg,
     (1 + a.rate) * b.rate AS float_leg
@@ -119,6 +126,10 @@ _PRICED = f"""priced AS (
     ELSE 'missing_fx' END AS price_status
   FROM (SELECT *, {_value('rate')} AS swapvalue FROM legged) v)"""
 
+_AT_EACH_TICK = f"""at_tick AS (
+  SELECT t.seq AS tick_seq, t.price, t.date, t.rate, l.id, {_value('t.rate')} AS swapvalue
+  FROM tick t LEFT JOIN legged l ON l.xccy = t.price AND l.as_of = t.date AND l.seq < t.seq AND coalesce(l.next_seq, t.seq) >= t.seq)"""
+
 _CENTS = "CAST(CAST(swapvalue AS DECIMAL(18,2)) AS DOUBLE) AS swapvalue"
 
 
@@ -209,6 +220,10 @@ FROM message m JOIN (SELECT xccy, id, max(seq) AS seq FROM message GROUP BY xccy
 WHERE xccy = 'EUR'""",
     "revalue_on_tick": f"""{_TICKS}
 SELECT tick_seq, xccy, id, organization, notional, seq AS trade_seq, {_CENTS}, price_status FROM priced""",
+    "tick_book_value": f"""WITH {_MESSAGE}, {_TICK}, {_SEEN}, {_legs('whole_years')}, {_LEGGED}, {_AT_EACH_TICK}
+SELECT tick_seq, price AS xccy, CAST(date AS VARCHAR) AS date, rate, count(swapvalue) AS trades, count(id) - count(swapvalue) AS unpriced,
+  round(coalesce(sum(swapvalue), 0.0::DOUBLE) / 100000000, 6) AS y
+FROM at_tick GROUP BY tick_seq, price, date, rate""",
     "events_per_batch": f"""WITH {_MESSAGE}, {_TICK}
 SELECT seq // 10000000 AS batch, count(*) AS messages FROM (SELECT seq FROM message UNION ALL SELECT seq FROM tick) a GROUP BY 1""",
     "latest_valuation": f"{_LATEST} SELECT organization, id, payccy, receiveccy, {_CENTS}, {_STAMP} FROM latest",

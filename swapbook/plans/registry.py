@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swapbook.functions import dates
+from swapbook.functions.money import in_chart_units
 from swapbook.operators import book, curve, portfolio, risk, schedule
 from swapbook.operators.curve import ACT_360, WHOLE_YEARS
 from swapbook.operators.fx import latest_fx
 from swapbook.operators.pricing import OK, leg_values, price
 from swapbook.operators.revalue import revalue_on_tick
+from swapbook.operators.tick_value import tick_book_value
 from swapbook.plans import inputs
 from swapbook.schemas import VALUATION_KEY, valuation_columns
 from swapbook.session import ROCKSDB_PROVIDER, work_dir
@@ -190,6 +192,13 @@ def tick_revaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def each_tick_book_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The book of its currency at every single tick."""
+    rows = tick_book_value(inputs.trade_messages(spark, sf_dir), inputs.ticks(spark, sf_dir), inputs.curve(spark, sf_dir))
+    value = F.round(in_chart_units(F.col("book_value")), 6).alias("y")
+    return rows.select(F.col("seq").alias("tick_seq"), F.col("price").alias("xccy"), iso("date"), "rate", "trades", "unpriced", value)
+
+
 def stream_revalue_on_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same re-pricing by the streaming job, run over the tables until they are used up."""
     folder = work_dir(spark, "stream")
@@ -311,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "trade_book": trade_book,
     "book_by_ccy": book_by_ccy,
     "revalue_on_tick": tick_revaluation,
+    "tick_book_value": each_tick_book_value,
     "stream_revalue_on_tick": stream_revalue_on_tick,
     "events_per_batch": events_per_batch,
     "latest_valuation": latest_valuation,
