@@ -255,3 +255,5 @@ SELECT organization, counterparty, CAST(sum(greatest(CAST(swapvalue AS DECIMAL(1
 }
 
 SQL["stream_revalue_on_tick"] = SQL["revalue_on_tick"]
+SQL["latest_view"] = SQL["latest_valuation"]
+SQL["compacted_history"] = SQL["org_valuations"]

@@ -5,6 +5,7 @@ Dates leave as ISO text and amounts as whole cents, so that results compare acro
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,9 +20,9 @@ from swapbook.operators.pricing import OK, leg_values, price
 from swapbook.operators.revalue import revalue_on_tick
 from swapbook.operators.tick_value import tick_book_value
 from swapbook.plans import inputs
-from swapbook.schemas import VALUATION_KEY, valuation_columns
-from swapbook.session import ROCKSDB_PROVIDER, work_dir
-from swapbook.sources import messages
+from swapbook.schemas import VALUATION_KEY
+from swapbook.session import ROCKSDB_PROVIDER, shared_dir, work_dir
+from swapbook.sources import commits, latest_view, messages, valuation_table
 from swapbook.streaming.jobs import revaluations, writer
 from swapbook.streaming.sinks import append_sink
 
@@ -64,15 +65,50 @@ def _revalued(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _store(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the valuation table that the re-pricing of the whole tick history leaves behind.
+
+    It is written by the first query of an application that needs it, and again when the input tables have changed.
+    """
+    state = commits.fingerprint(spark, [f"{sf_dir}/{name}.parquet" for name in ("orders", "lineitem", "events")])
+    path = os.path.join(shared_dir(spark), f"valuations-{spark.sparkContext.applicationId}-{state}")
+    valuation_table.append(_revalued(spark, sf_dir).filter(F.col("price_status") == OK), path, "history", 0)
+    return path
+
+
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The valuation table the re-pricing of the whole tick history leaves behind."""
-    return valuation_columns(_revalued(spark, sf_dir).filter(F.col("price_status") == OK))
+    return valuation_table.read(spark, _store(spark, sf_dir))
 
 
 def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio.latest_valuation(_history(spark, sf_dir))
 
 
+def kept_latest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest valuations from the kept view, to which the history comes in weekly batches, merged half-way."""
+    history, folder = _history(spark, sf_dir), work_dir(spark, "latest")
+    week = F.weekofyear("valuation_day")
+    for batch, (number,) in enumerate(sorted(history.select(week).distinct().collect())):
+        latest_view.add(history.filter(week == number), folder, "history", batch)
+        if batch == 2:
+            latest_view.compact(spark, folder)
+    return latest_view.read(spark, folder).select(*VALUATION_KEY, inputs.cents("swapvalue"), stamp("valuationdate"))
+
+
+def compacted_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One organization's valuations from a table of two runs in several batches each, half of its days compacted."""
+    history, folder = _history(spark, sf_dir), work_dir(spark, "table")
+    day = F.dayofyear("valuation_day")
+    for run in (0, 1):
+        for batch in (0, 1):
+            part = history.filter((day % 2 == run) & (F.pmod(F.xxhash64("id"), F.lit(2)) == batch))
+            valuation_table.append(part, folder, f"run{run}", batch)
+    for (when,) in sorted(history.select("valuation_day").filter(day % 2 == 0).distinct().collect()):
+        valuation_table.compact(spark, folder, str(when))
+    valuation_table.vacuum(spark, folder)
+    return _served(portfolio.org_valuations(valuation_table.read(spark, folder), LOOKUP_ORGANIZATION))
+
+
 def curve_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = curve.curve_points(inputs.curve(spark, sf_dir))
     return points.select("term", "days", "rate", "year_fraction", digits("discount_factor"))
@@ -214,7 +250,7 @@ def stream_revalue_on_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("tick_seq", "xccy", "id", "organization", "notional", "trade_seq", inputs.cents("swapvalue"), "price_status")
     run = writer(priced, append_sink(f"{folder}/out"), f"{folder}/state", "revalue_tables", available_now=True).start()
     run.awaitTermination()
-    return spark.read.schema(priced.schema).parquet(f"{folder}/out").drop("batch_id")
+    return spark.read.schema(priced.schema).parquet(f"{folder}/out").drop("run_id", "batch_id")
 
 
 def events_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,6 +362,8 @@ QUERIES: dict[str, Query] = {
     "latest_valuation": latest_valuation,
     "latest_valuation_rows": latest_valuation_rows,
     "latest_for_org": latest_for_org,
+    "latest_view": kept_latest_view,
+    "compacted_history": compacted_history,
     "org_valuations": org_valuations,
     "swap_history": swap_history,
     "portfolio_value": portfolio_value,

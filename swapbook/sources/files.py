@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swapbook.schemas import VALUATION
+from swapbook.sources import valuation_table
 
 RAW = "seq BIGINT, value STRING"
 
@@ -22,6 +22,5 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_valuations(spark: SparkSession, path: str) -> DataFrame:
-    """Stored valuations, with the columns batch_id and valuation_day of the folder names."""
-    layout = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in VALUATION)
-    return spark.read.schema(f"{layout}, batch_id BIGINT, valuation_day DATE").parquet(path)
+    """Stored valuations, with the columns valuation_day, run_id and batch_id of their place."""
+    return valuation_table.read(spark, path)

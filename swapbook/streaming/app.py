@@ -19,6 +19,10 @@ from swapbook.sources import curves, files, kafka
 from swapbook.streaming import jobs, sinks
 
 
+# A micro-batch is sorted by bucket in one worker each, so its size is bounded even when the topics were left alone for long.
+MAX_MESSAGES, MAX_FILES = 200_000, 100
+
+
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("mode", choices=("revalue", "store"))
@@ -28,13 +32,16 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--input-dir", help="folder with ir_data/ and, if there is a seed, fx_data/")
     parser.add_argument("--fx-seed", action="store_true", help="start from the rates in fx_data/")
     parser.add_argument("--table", required=True, help="folder of the valuation table")
+    parser.add_argument("--latest", help="folder of the kept latest view, if one is wanted")
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--buckets", type=int, default=64, help="parts of a currency's book")
     parser.add_argument("--day-count", choices=DAY_COUNTS, default=WHOLE_YEARS)
     parser.add_argument("--last-tick-only", action="store_true", help="re-price once per batch, currency and date")
-    parser.add_argument("--max-per-trigger", type=int, help="messages (or files) per micro-batch")
+    parser.add_argument("--max-per-trigger", type=int, help="messages (or files) per micro-batch; there is always a limit")
     parser.add_argument("--available-now", action="store_true", help="work off what is there, then stop")
     args = parser.parse_args(argv)
+    if args.max_per_trigger is None:
+        args.max_per_trigger = MAX_MESSAGES if args.servers else MAX_FILES
     if args.mode == "revalue" and args.input_dir is None:
         parser.error("revalue needs --input-dir")
     return args
@@ -58,7 +65,10 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
     seed = curves.read_fx_seed(spark, f"{args.input_dir}/fx_data", stream=True) if args.fx_seed else None
     sink = sinks.table_sink(args.table, f"{args.table}_unpriced")
     if args.servers:
-        sink = sinks.both(sink, sinks.kafka_sink(args.servers))
+        sent = sinks.once(sinks.kafka_sink(args.servers), f"{args.table}_sent")
+        sink = sinks.both(sink, sent)
+    if args.latest:
+        sink = sinks.both(sink, sinks.latest_sink(args.latest))
     revalue = jobs.revaluation_query(
         raw,
         curve,
