@@ -194,6 +194,17 @@ FROM tick""",
 SELECT seq, id, organization, CAST(tradedate AS VARCHAR) AS tradedate, strftime(settlementdate, '%m/%d/%Y') AS settlement_slash,
   CAST(settlementdate AS VARCHAR) AS settlementdate, CAST(maturitydate AS VARCHAR) AS maturitydate, notional, counterparty,
   longshort, payccy, receiveccy, payindex, receiveindex, frequency, xccy FROM trade""",
+    "rejected_messages": f"""WITH {_TRADE}, {_TICK},
+sent AS (
+  SELECT seq, 'trade' AS kind, seq // 1000000 % 41 AS harm, payccy FROM trade
+  UNION ALL SELECT seq, 'tick', seq // 1000000 % 41, NULL FROM tick),
+judged AS (
+  SELECT seq, kind, CASE WHEN harm IN (0, 1) THEN 'not a message'
+    WHEN kind = 'trade' THEN CASE harm WHEN 2 THEN 'bad notional' WHEN 3 THEN 'bad date' WHEN 4 THEN 'unknown frequency'
+      WHEN 5 THEN 'unknown currency' WHEN 9 THEN 'bad value' ELSE '' END
+    ELSE CASE harm WHEN 6 THEN 'bad rate' WHEN 7 THEN 'unknown currency' WHEN 8 THEN 'bad date' ELSE '' END END AS reject_reason
+  FROM sent)
+SELECT seq, CASE WHEN reject_reason = '' THEN kind ELSE 'rejected' END AS route, reject_reason FROM judged""",
     "trade_terms": f"""WITH {_TRADE}, {_TENOR}
 SELECT id, months, n, CAST(trunc(date_diff('day', settlementdate, maturitydate) / n) AS INTEGER) AS np
 FROM trade JOIN tenor ON term = frequency""",

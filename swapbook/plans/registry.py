@@ -162,6 +162,36 @@ def dates_text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
+def spoiled_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades and ticks as messages, about one in four of them made unusable in one of ten ways."""
+    trades, ticks = inputs.trades(spark, sf_dir), inputs.ticks(spark, sf_dir)
+    raw = trades.select("seq", messages.trade_json(trades).alias("value")).unionByName(
+        ticks.select("seq", messages.tick_json().alias("value"))
+    )
+    harm = F.floor(F.col("seq") / 1_000_000) % 41
+    swap = lambda field, other: F.regexp_replace("value", f'"{field}":"[^"]*"', f'"{field}":"{other}"')
+    value = (
+        F.when(harm == 0, F.lit("no payment dates"))
+        .when(harm == 1, F.lit("{}"))
+        .when(harm == 2, swap("notional", "1e30"))
+        .when(harm == 3, swap("settlementdate", "2024-13-01"))
+        .when(harm == 4, swap("frequency", "2W"))
+        .when(harm == 5, swap("payccy", "XXX"))
+        .when(harm == 6, swap("rate", "NaN"))
+        .when(harm == 7, swap("price", "USD"))
+        .when(harm == 8, swap("date", "31/31/2024"))
+        .when(harm == 9, swap("swapvalue", "many"))
+        .otherwise(F.col("value"))
+    )
+    return raw.select("seq", value.alias("value"))
+
+
+def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of each message of a spoiled topic: its route, and why it is set aside."""
+    routed = messages.routed(messages.decode(spoiled_messages(spark, sf_dir)))
+    return routed.select("seq", "route", F.coalesce("reject_reason", F.lit("")).alias("reject_reason"))
+
+
 def trade_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule.trade_terms(inputs.trades(spark, sf_dir)).select("id", "months", "n", "np")
 
@@ -346,6 +376,7 @@ QUERIES: dict[str, Query] = {
     "fx_ticks": fx_ticks,
     "fx_latest": fx_latest,
     "trades_normalized": trades_normalized,
+    "rejected_messages": rejected_messages,
     "trade_terms": trade_terms,
     "payment_schedule": payment_schedule,
     "reset_dates": reset_dates,

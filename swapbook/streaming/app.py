@@ -58,7 +58,11 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
     state = args.checkpoint
     if args.mode == "store":
         raw = _messages(spark, args, TOPIC_PRICED)
-        return [jobs.persist_query(raw, sinks.table_sink(args.table), f"{state}/store", args.available_now).start()]
+        out = sinks.table_sink(args.table)
+        if args.latest:
+            out = sinks.both(out, sinks.latest_sink(args.latest))
+        aside = sinks.append_sink(f"{args.table}_rejected")
+        return [jobs.persist_query(raw, out, f"{state}/store", args.available_now, aside).start()]
 
     raw = _messages(spark, args, TOPIC_RAW)
     curve = curves.read_curve(spark, curves.curve_paths(args.input_dir))

@@ -117,3 +117,21 @@ def test_schedule_rules(spark):
     for elapsed, reset in ((-50, 90), (0, 90), (179, 90), (180, 270), (360, 450), (5000, 450)):
         row = schedule.reset_dates(trades, dt.date(2023, 1, 1) + dt.timedelta(elapsed)).first()
         assert (row.resetdate - dt.date(2023, 1, 1)).days == reset
+
+
+def test_amounts_and_times_beyond_use_are_rejected(spark):
+    changes = [({"notional": "NaN"}, "bad notional"), ({"notional": "1e30"}, "bad notional"), ({"swapvalue": "many"}, "bad value"),
+               ({"swapvalue": "Infinity"}, "bad value"), ({"valuationdate": "tomorrow"}, "bad valuation date"),
+               ({"valuationdate": "", "swapvalue": ""}, None)]
+    got = reasons(spark, messages.trades, [swap(**c) for c, _ in changes])
+    assert got == {i: reason for i, (_, reason) in enumerate(changes)}
+
+
+def test_a_message_is_parsed_once(spark):
+    raw = spark.createDataFrame([(1, swap()), (2, "{}")], "seq BIGINT, value STRING")
+    for frame in (
+        messages.routed(messages.decode(raw)), messages.accepted(messages.events(messages.decode(raw))),
+        messages.rejected(messages.events(messages.decode(raw))),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json") == 1, plan

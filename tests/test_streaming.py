@@ -242,3 +242,24 @@ def test_stored_rows_pass_through_whether_kept_or_not(limit):
     for _ in range(2):
         assert list(kept.through(state)) == [(f"id{i}", (i,)) for i in range(3)]
     assert State.reads == (1 if limit >= 3 else 2)
+
+
+def test_store_mode_keeps_rejects_of_the_same_batch(spark, folder):
+    trades, ticks = event_log(37, trades=30, ticks=5, days=2)
+    lines = texts(trades, ticks)
+    bad = [(10**15 + i, text) for i, text in enumerate(("no payment dates", "{}", json.dumps({"source_stream": "swap_stream", "id": "SWAP1"})))]
+    write_file(f"{folder}/in", 0, lines + bad)
+    made = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for part in rows:
+            made.add(len(part))
+            yield part
+
+    raw = files.stream_messages(spark, f"{folder}/in").mapInPandas(count, files.RAW)
+    args = (sinks.table_sink(f"{folder}/t"), f"{folder}/c", True, sinks.append_sink(f"{folder}/bad"))
+    jobs.persist_query(raw, *args).start().awaitTermination(120)
+    rejects = {r.seq: r.reject_reason for r in spark.read.parquet(f"{folder}/bad").collect()}
+    assert rejects == {10**15: "not a message", 10**15 + 1: "not a message", 10**15 + 2: "no organization", **{t[0]: "not a trade" for t in ticks}}
+    assert files.read_valuations(spark, f"{folder}/t").count() == len(trades)
+    assert made.value == len(lines) + len(bad)
