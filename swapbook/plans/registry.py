@@ -12,18 +12,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swapbook.functions import dates
+from swapbook.functions.keys import window_of
 from swapbook.functions.money import in_chart_units
 from swapbook.operators import book, curve, portfolio, risk, schedule
 from swapbook.operators.curve import ACT_360, WHOLE_YEARS
 from swapbook.operators.fx import latest_fx
 from swapbook.operators.pricing import OK, leg_values, price
-from swapbook.operators.revalue import revalue_on_tick
+from swapbook.operators.revalue import DAY_US, revalue_on_tick
 from swapbook.operators.tick_value import tick_book_value
 from swapbook.plans import inputs
 from swapbook.schemas import VALUATION_KEY
 from swapbook.session import ROCKSDB_PROVIDER, shared_dir, work_dir
 from swapbook.sources import commits, latest_view, messages, valuation_table
-from swapbook.streaming.jobs import revaluations, writer
+from swapbook.streaming.jobs import CLOCK, as_events, conflated_revaluations, writer
 from swapbook.streaming.sinks import append_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -266,17 +267,25 @@ def each_tick_book_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_revalue_on_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same re-pricing by the streaming job, run over the tables until they are used up."""
+    """The same re-pricing by the streaming job, from files that come in several micro-batches.
+
+    The topic is written in parts of sixteen days, each in several files without order, which are read one at a time: rows come
+    days late, and no micro-batch holds a window as a whole. A clock row at the end lets the last windows close.
+    """
     folder = work_dir(spark, "stream")
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    priced = revaluations(
-        inputs.trade_stream(spark, sf_dir),
-        inputs.tick_stream(spark, sf_dir),
-        inputs.curve(spark, sf_dir),
-        buckets=4,
-        last_tick_only=True,
-        all_currencies=False,
+    events = as_events(inputs.trade_messages(spark, sf_dir), inputs.ticks(spark, sf_dir))
+    part = window_of("seq", 16 * DAY_US)
+    low, high = events.agg(F.min(part), F.max(part)).first()
+    for number in range(low or 0, (high or 0) + 1) if low is not None else ():
+        events.filter(part == number).repartition(2).write.mode("append").parquet(f"{folder}/in")
+    end = F.lit(((high or 0) + 3) * 16 * DAY_US).cast("long")
+    clock = spark.range(1).select(F.lit(CLOCK).alias("kind"), F.lit("").alias("xccy"), end.alias("seq"))
+    events.limit(0).unionByName(clock, allowMissingColumns=True).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    priced = conflated_revaluations(
+        stream, inputs.curve(spark, sf_dir), DAY_US, delay="16 days", buckets=4, all_currencies=False
     ).select("tick_seq", "xccy", "id", "organization", "notional", "trade_seq", inputs.cents("swapvalue"), "price_status")
     run = writer(priced, append_sink(f"{folder}/out"), f"{folder}/state", "revalue_tables", available_now=True).start()
     run.awaitTermination()
