@@ -227,21 +227,44 @@ def test_job_script_from_files_with_seed_rates(spark, folder):
         app.arguments(["revalue", "--messages", "x", "--table", "t", "--checkpoint", "c"])
 
 
-@pytest.mark.parametrize("limit", [0, 2, 100])
-def test_stored_rows_pass_through_whether_kept_or_not(limit):
-    from swapbook.streaming.processor import _Kept
+def test_a_late_file_with_lower_seq_changes_nothing(spark, folder):
+    """Neither an older version of a trade nor an older rate of the day replaces a newer one, and neither is priced."""
+    eur = lambda seq, million: data.trade(random.Random(1), 1, seq, payccy="EUR", receiveccy="USD", xccy="EUR", notional=million * 1e6)
+    tick = lambda seq, rate: (seq, DAY0, "USD", "EUR", rate)
+    for number, lines in enumerate(
+        (texts([eur(10, 50)], [tick(20, 0.7)]), texts([eur(5, 99)], [tick(15, 0.1)]), texts([], [tick(30, 0.8)]))
+    ):
+        write_file(f"{folder}/in", number, lines)
+        run_revaluation(spark, folder, data.curve_frame(spark, data.curve_rates()))
+    expected = replay.valuations([eur(10, 50)], [tick(20, 0.7), tick(30, 0.8)], data.curve_rates())
+    assert set(expected) == {(20, "SWAP1"), (30, "SWAP1")}
+    same(stored(spark, folder), expected)
 
-    class State:
-        reads = 0
 
-        def iterator(self):
-            State.reads += 1
-            return iter([((f"id{i}",), [i]) for i in range(3)])
+@pytest.mark.parametrize("parts", [1, 3])
+def test_matured_trades_leave_whatever_the_split(spark, folder, parts):
+    import datetime as dt
 
-    kept, state = _Kept(limit), State()
-    for _ in range(2):
-        assert list(kept.through(state)) == [(f"id{i}", (i,)) for i in range(3)]
-    assert State.reads == (1 if limit >= 3 else 2)
+    ends = {1: DAY0 + dt.timedelta(1), 2: DAY0 + dt.timedelta(9), 3: DAY0 - dt.timedelta(30)}
+    swaps = [
+        data.trade(random.Random(n), n, n, payccy="EUR", receiveccy="USD", xccy="EUR", settlementdate=dt.date(2022, 6, 1), maturitydate=end)
+        for n, end in ends.items()
+    ]
+    ticks = [(10 + d, DAY0 + dt.timedelta(d), "USD", "EUR", 0.7) for d in range(6)]
+    lines = texts(swaps, ticks)
+    size = -(-len(lines) // parts)
+    for part in range(parts):
+        write_file(f"{folder}/in", part, lines[part * size : (part + 1) * size])
+    run_revaluation(spark, folder, data.curve_frame(spark, data.curve_rates()), keep_days=2)
+    got = stored(spark, folder)
+    assert set(got) == {(10 + d, "SWAP2") for d in range(6)} | {(10 + d, "SWAP1") for d in range(4)}
+    everything = replay.valuations(swaps, ticks, data.curve_rates())
+    same(got, {key: everything[key] for key in got})
+    state = spark.read.format("statestore").option("stateVarName", "book").load(f"{folder}/checkpoint")
+    from swapbook.streaming.frames import BOOK, unpacked
+
+    books = [unpacked(r.value.data, BOOK) for r in state.filter("key.xccy = 'EUR'").collect()]
+    assert sorted(i for b in books for i in b["id"]) == ["SWAP2"]
 
 
 def test_store_mode_keeps_rejects_of_the_same_batch(spark, folder):
