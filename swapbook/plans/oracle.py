@@ -205,6 +205,13 @@ judged AS (
     ELSE CASE harm WHEN 6 THEN 'bad rate' WHEN 7 THEN 'unknown currency' WHEN 8 THEN 'bad date' ELSE '' END END AS reject_reason
   FROM sent)
 SELECT seq, CASE WHEN reject_reason = '' THEN kind ELSE 'rejected' END AS route, reject_reason FROM judged""",
+    "curve_files": f"""WITH {_CURVE}, line AS (SELECT *, days % 23 AS harm FROM curve)
+SELECT CAST(CASE harm WHEN 0 THEN -1 WHEN 1 THEN 99999 ELSE days END AS INTEGER) AS days,
+  CASE harm WHEN 2 THEN '' ELSE 'LIBOR' END AS index_name, CASE harm WHEN 4 THEN '2W' ELSE term END AS term,
+  CASE WHEN harm IN (5, 6) THEN 0.0::DOUBLE ELSE rate END AS rate,
+  CASE harm WHEN 0 THEN 'bad days' WHEN 1 THEN 'beyond reach' WHEN 2 THEN 'no index' WHEN 4 THEN 'unknown term'
+    WHEN 5 THEN 'bad rate' WHEN 6 THEN 'wrong number of fields' ELSE '' END AS reject_reason
+FROM line""",
     "trade_terms": f"""WITH {_TRADE}, {_TENOR}
 SELECT id, months, n, CAST(trunc(date_diff('day', settlementdate, maturitydate) / n) AS INTEGER) AS np
 FROM trade JOIN tenor ON term = frequency""",

@@ -21,9 +21,9 @@ from swapbook.operators.pricing import OK, leg_values, price
 from swapbook.operators.revalue import DAY_US, revalue_on_tick
 from swapbook.operators.tick_value import tick_book_value
 from swapbook.plans import inputs
-from swapbook.schemas import VALUATION_KEY
+from swapbook.schemas import TENORS, VALUATION_KEY
 from swapbook.session import ROCKSDB_PROVIDER, shared_dir, work_dir
-from swapbook.sources import commits, latest_view, messages, valuation_table
+from swapbook.sources import commits, curves, latest_view, messages, valuation_table
 from swapbook.streaming.jobs import CLOCK, as_events, conflated_revaluations, writer
 from swapbook.streaming.sinks import append_sink
 
@@ -193,6 +193,29 @@ def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.select("seq", "route", F.coalesce("reject_reason", F.lit("")).alias("reject_reason"))
 
 
+def curve_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curve written as its three files, about one line in three unusual in one of seven ways, and read back with a verdict."""
+    folder = work_dir(spark, "curve")
+    harm = F.col("days") % 23
+    fields = [
+        F.when(harm == 0, F.lit("soon")).when(harm == 1, F.lit("99999")).otherwise(F.col("days").cast("string")),
+        F.when(harm == 2, F.lit("")).when(harm == 3, F.lit("\u00a0LIBOR\u200b")).otherwise(F.col("index_name")),
+        F.when(harm == 4, F.lit("2W")).otherwise(F.col("term")),
+        F.when(harm == 5, F.lit("NaN")).otherwise(F.col("rate").cast("string")),
+    ]
+    line = F.when(harm == 6, F.concat_ws("\t", *fields[:3])).otherwise(F.concat_ws("\t", *fields))
+    lines = inputs.curve(spark, sf_dir).select("term", line.alias("days\tindex\tterm\trate"))
+    for path, (term, _, _) in zip(curves.curve_paths(folder), TENORS):
+        # a separator that no line holds, so that a line leaves as it is, below the header
+        lines.filter(F.col("term") == term).drop("term").write.csv(path, sep="\u0001", quote="", header=True)
+    judged = curves.judged_curve(spark, curves.curve_paths(folder))
+    nothing = F.coalesce("reject_reason", F.lit("")).alias("reject_reason")
+    return judged.select(
+        F.coalesce("days", F.lit(-1)).alias("days"), F.coalesce("index_name", F.lit("")).alias("index_name"), "term",
+        F.coalesce("rate", F.lit(0.0)).alias("rate"), nothing,
+    )
+
+
 def trade_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule.trade_terms(inputs.trades(spark, sf_dir)).select("id", "months", "n", "np")
 
@@ -386,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "fx_latest": fx_latest,
     "trades_normalized": trades_normalized,
     "rejected_messages": rejected_messages,
+    "curve_files": curve_files,
     "trade_terms": trade_terms,
     "payment_schedule": payment_schedule,
     "reset_dates": reset_dates,

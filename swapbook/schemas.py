@@ -35,15 +35,6 @@ CURVE = T.StructType(
     ]
 )
 
-FX_SEED = T.StructType(
-    [
-        T.StructField("date", T.StringType()),
-        T.StructField("base", T.StringType()),
-        T.StructField("price", T.StringType()),
-        T.StructField("rate", T.DoubleType()),
-    ]
-)
-
 # Swap and FX messages share a topic, so one all-text struct covers both.
 MESSAGE = T.StructType(
     [

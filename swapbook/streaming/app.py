@@ -37,6 +37,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--buckets", type=int, default=64, help="parts of a currency's book")
     parser.add_argument("--day-count", choices=DAY_COUNTS, default=WHOLE_YEARS)
     parser.add_argument("--last-tick-only", action="store_true", help="re-price once per batch, currency and date")
+    parser.add_argument("--keep-days", type=int, help="days after maturity that a trade stays in the book; all of them if not given")
     parser.add_argument("--max-per-trigger", type=int, help="messages (or files) per micro-batch; there is always a limit")
     parser.add_argument("--available-now", action="store_true", help="work off what is there, then stop")
     args = parser.parse_args(argv)
@@ -65,8 +66,14 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         return [jobs.persist_query(raw, out, f"{state}/store", args.available_now, aside).start()]
 
     raw = _messages(spark, args, TOPIC_RAW)
-    curve = curves.read_curve(spark, curves.curve_paths(args.input_dir))
-    seed = curves.read_fx_seed(spark, f"{args.input_dir}/fx_data", stream=True) if args.fx_seed else None
+    judged = curves.judged_curve(spark, curves.curve_paths(args.input_dir))
+    curve = curves.accepted(judged)
+    curves.rejected(judged).write.mode("overwrite").parquet(f"{args.table}_rejected_curve")
+    seed = None
+    if args.fx_seed:
+        seed = curves.read_fx_seed(spark, f"{args.input_dir}/fx_data", stream=True)
+        bad = curves.rejected(curves.judged_fx_seed(spark, f"{args.input_dir}/fx_data"))
+        bad.write.mode("overwrite").parquet(f"{args.table}_rejected_seed")
     sink = sinks.table_sink(args.table, f"{args.table}_unpriced")
     if args.servers:
         sent = sinks.once(sinks.kafka_sink(args.servers), f"{args.table}_sent")
@@ -83,6 +90,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         buckets=args.buckets,
         day_count=args.day_count,
         last_tick_only=args.last_tick_only,
+        keep_days=args.keep_days,
     )
     rejected = jobs.writer(
         jobs.rejected_messages(_messages(spark, args, TOPIC_RAW)),

@@ -6,6 +6,7 @@ import data
 from pyspark.sql import functions as F
 
 from swapbook.functions import dates, keys
+from swapbook.operators.curve import curve_points
 from swapbook.sources import curves, messages
 
 
@@ -30,6 +31,37 @@ def test_fx_seed_comes_before_every_tick(spark, folder):
     ]
 
 
+def test_spoiled_curve_lines_are_set_aside_and_the_rest_prices(spark, folder):
+    good = "30\tLIBOR\t3M\t0.08"
+    bad = {
+        "x\tLIBOR\t3M\t0.08": "bad days", "-1\tLIBOR\t3M\t0.08": "bad days", "40000\tLIBOR\t3M\t0.08": "beyond reach",
+        "30\t\t3M\t0.08": "no index", "30\tLIBOR\t2W\t0.08": "unknown term", "30\tLIBOR\t3M\t": "bad rate",
+        "30\tLIBOR\t3M\tNaN": "bad rate", "30\tLIBOR\t3M\t1e400": "bad rate", "30\tLIBOR\t3M": "wrong number of fields",
+        "30\tLIBOR\t3M\t0.08\t1": "wrong number of fields",
+    }
+    with open(f"{folder}/c.txt", "w", encoding="utf-8") as out:
+        out.write("\n".join(["days\tindex\tterm\trate", good, *bad, "", "31\tLIB\u00e9OR\t3M\t0.09"]) + "\n")
+    judged = curves.judged_curve(spark, f"{folder}/c.txt")
+    assert {r.line: r.reject_reason for r in curves.rejected(judged).collect()} == bad
+    usable = curves.read_curve(spark, f"{folder}/c.txt")
+    assert sorted(map(tuple, usable.collect())) == [(30, "LIBOR", "3M", 0.08), (31, "LIBOR", "3M", 0.09)]
+    assert curve_points(usable).count() == 2
+    # fields that are not asked for count all the same
+    assert judged.filter("reject_reason IS NULL").select("rate").count() == 2
+
+
+def test_spoiled_seed_lines_are_set_aside_and_empty_files_are_empty(spark, folder):
+    os.makedirs(f"{folder}/fx")
+    bad = {"x\tUSD\tJPY\t0.9": "bad date", "1/5/2024\tUSD\tXXX\t0.9": "unknown currency", "1/5/2024\tUSD\tJPY\t0": "bad rate", "1/5/2024": "wrong number of fields"}
+    with open(f"{folder}/fx/a.txt", "w") as out:
+        out.write("\n".join([*bad, "1/5/2024\tUSD\tJPY\t0.9"]))
+    open(f"{folder}/fx/b.txt", "w").close()
+    judged = curves.judged_fx_seed(spark, f"{folder}/fx")
+    assert {r.line: r.reject_reason for r in curves.rejected(judged).collect()} == bad
+    assert curves.read_fx_seed(spark, f"{folder}/fx").select("price", "rate").collect() == [("JPY", 0.9)]
+    assert curves.read_curve(spark, f"{folder}/fx/b.txt").collect() == []
+
+
 def swap(**changes):
     body = {
         "source_stream": "swap_stream", "id": "SWAP1", "organization": "org1", "tradedate": "2023-01-01",
