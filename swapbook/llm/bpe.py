@@ -2,7 +2,8 @@
 
 The last token of every prefix of a word decides its encoding: walking back from the end, each last token leads to
 the prefix before it. A token t can be the last one of a prefix if it is a suffix of it and if t and the last token
-of the prefix before it stay two tokens when their bytes are encoded alone; exactly one token does. So the distinct
+of the prefix before it stay two tokens when their bytes are encoded alone; exactly one token does. Which tokens end at
+a byte is read off an automaton over the vocabulary, whose state is kept per depth like the last token. So the distinct
 words of a batch are put into a trie, which is walked depth first with a stack of last-token states, and what words
 have in common at their start is computed once. The sorted words are that trie in depth-first order: the bytes that
 a word shares with the one before it are the path down to the node where they part.
@@ -34,6 +35,7 @@ WORDS = regex.compile(
 )
 TABLE_WORDS = 150_000
 TABLE_PAIRS = 500_000
+TABLE_STEPS = 500_000
 #: Documents and characters that are encoded at a time.
 DOCS, CHARACTERS = 256, 1_000_000
 
@@ -64,12 +66,15 @@ class ByteBpe:
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             a, b = raw(left), raw(right)
             self.rank[self.id_of[a], self.id_of[b]] = (rank, self.id_of[a + b])
-        longest: dict[int, int] = {}
-        for token in self.id_of:
-            longest[token[-1]] = max(longest.get(token[-1], 0), len(token))
-        self.longest = [longest.get(b, 1) for b in range(256)]
+        self.parts = {made: pair for pair, (_, made) in self.rank.items()}
+        self.made_at = {made: rank for rank, made in self.rank.values()}
+        #: each token comes from one merge, and after the tokens that it is made of
+        self.ordered = len(self.parts) == len(self.rank) and all(
+            rank > self.made_at.get(part, -1) for pair, (rank, _) in self.rank.items() for part in pair
+        )
+        self._automaton()
         self.split_added = regex.compile("(" + "|".join(regex.escape(c) for c in sorted(self.added, key=len, reverse=True)) + ")")
-        self.alone: dict[tuple[int, int], bool] = {}
+        self.alone: dict[int, bool] = {}
         self.table: dict[str, tuple[int, ...]] = {}
 
     def merged(self, data: bytes) -> list[int]:
@@ -83,40 +88,105 @@ class ByteBpe:
             ids[i : i + 2] = [self.rank[ids[i], ids[i + 1]][1]]
         return ids
 
+    def _automaton(self) -> None:
+        """An automaton over the bytes of the tokens: where it stands after some bytes tells all tokens that end there.
+
+        ``step`` leads from node and byte to a node, ``back`` to the node of the longest proper suffix that is one, and
+        ``ends`` lists the tokens (with their sizes) that are suffixes of a node, longest first.
+        """
+        self.step: dict[int, int] = {}
+        token_at = {}
+        nodes = 1
+        for token, number in self.id_of.items():
+            node = 0
+            for byte in token:
+                place = node << 8 | byte
+                node = self.step.setdefault(place, nodes)
+                nodes += node == nodes
+            token_at[node] = (number, len(token))
+        below: list[list[tuple[int, int]]] = [[] for _ in range(nodes)]
+        for place, node in self.step.items():
+            below[place >> 8].append((place & 255, node))
+        self.back, self.ends = [0] * nodes, [()] * nodes
+        level = [0]
+        while level:
+            following = []
+            for parent in level:
+                for byte, node in below[parent]:
+                    self.back[node] = self.moved(self.back[parent], byte) if parent else 0
+                    own = (token_at[node],) if node in token_at else ()
+                    self.ends[node] = own + self.ends[self.back[node]]
+                    following.append(node)
+            level = following
+
+    def moved(self, node: int, byte: int) -> int:
+        """The node that ``byte`` leads to; found once, then a step of its own (one for each node and byte in use)."""
+        place = node << 8 | byte
+        found = self.step.get(place)
+        if found is None:
+            found = self.moved(self.back[node], byte) if node else 0
+            if len(self.step) < TABLE_STEPS:
+                self.step[place] = found
+        return found
+
     def stay_apart(self, before: int, token: int) -> bool:
         """Whether ``before`` (-1: none) followed by ``token`` is an encoding."""
-        known = self.alone.get((before, token))
+        place = (before << 32) + token
+        known = self.alone.get(place)
         if known is None:
             if len(self.alone) >= TABLE_PAIRS:
                 self.alone.clear()
-            tokens = [token] if before < 0 else [before, token]
-            known = self.merged(b"".join(self.bytes_of[t] for t in tokens)) == tokens
-            self.alone[before, token] = known
+            known = self.alone[place] = self._apart(before, token)
         return known
 
+    def _apart(self, before: int, token: int) -> bool:
+        if before < 0 or not self.ordered:
+            tokens = [token] if before < 0 else [before, token]
+            return self.merged(b"".join(self.bytes_of[t] for t in tokens)) == tokens
+        # undo the merges on both sides of the border, latest first; the two tokens that meet there must never have a
+        # merge that comes before the one undone last. Of equal merges the left one comes first.
+        limit = len(self.rank)
+        while True:
+            across = self.rank.get((before, token))
+            if across is not None and across[0] < limit:
+                return False
+            left, right = self.made_at.get(before, -1), self.made_at.get(token, -1)
+            if left < 0 and right < 0:
+                return True
+            if left > right:
+                limit, before = left, self.parts[before][1]
+            else:
+                limit, token = right + 1, self.parts[token][0]
+
     def encode_words(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
         """The encodings of distinct words, by one walk over their trie."""
         found = {}
-        id_of, longest = self.id_of, self.longest
-        last, size = [-1], [0]  # last token of the path to each depth, and its length
+        step, ends, alone = self.step, self.ends, self.alone
+        last, size, nodes = [-1], [0], [0]  # last token of the path to each depth, its length, the automaton there
         path = b""
         for data, word in sorted((w.encode("utf-8"), w) for w in words):
             same, most = 0, min(len(path), len(data))
             while same < most and path[same] == data[same]:
                 same += 1
-            del last[same + 1 :], size[same + 1 :]
+            del last[same + 1 :], size[same + 1 :], nodes[same + 1 :]
+            node = nodes[same]
             for end in range(same + 1, len(data) + 1):
-                for start in range(max(0, end - longest[data[end - 1]]), end):
-                    token = id_of.get(data[start:end])
-                    if token is not None and self.stay_apart(last[start], token):
+                to = step.get(node << 8 | data[end - 1])
+                node = self.moved(node, data[end - 1]) if to is None else to
+                nodes.append(node)
+                for token, length in ends[node]:
+                    before = last[end - length]
+                    apart = alone.get((before << 32) + token)
+                    if apart or (apart is None and self.stay_apart(before, token)):
                         last.append(token)
-                        size.append(end - start)
+                        size.append(length)
                         break
             path, at, ids = data, len(data), []
             while at:
                 ids.append(last[at])
                 at -= size[at]
-            found[word] = tuple(reversed(ids))
+            ids.reverse()
+            found[word] = tuple(ids)
         return found
 
     def words(self, text: str) -> list[str]:

@@ -66,3 +66,23 @@ def test_parts_cover_everything():
     slices = list(bpe.parts(texts))
     assert [i for s in slices for i in range(s.start, s.stop)] == list(range(len(texts)))
     assert list(bpe.parts([])) == []
+
+
+def test_pairs_stay_apart_as_plain_merging_says():
+    """The border between two tokens against merging their bytes, for any two tokens and for short ones; in any order of ranks."""
+    with open(TOKENIZER, encoding="utf-8") as file:
+        model = bpe.ByteBpe(file.read())
+    assert model.ordered
+    rng, ids = random.Random(2), list(model.id_of.values())
+    short = [i for i in ids if len(model.bytes_of[i]) <= 3]
+    apart = 0
+    for k in range(20_000):
+        pool = short if k % 2 else ids
+        a, b = rng.choice(pool), rng.choice(pool)
+        plain = model.merged(model.bytes_of[a] + model.bytes_of[b]) == [a, b]
+        assert model.stay_apart(a, b) == plain
+        apart += not plain
+        model.ordered = False
+        assert model._apart(a, b) == plain
+        model.ordered = True
+    assert apart > 100
