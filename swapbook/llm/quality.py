@@ -12,8 +12,9 @@ starts are carried along (scales of the single statistics; and their correlation
 scatter has the smaller determinant is kept, then re-weighted once.
 
 Defined cases: a null text has no words and fails the base rules; null language or source are values of their own;
-a group of fewer than ``least_rows`` rows past the base rules gives no estimate and rejects nothing; repeated rows
-count as often as they occur; other columns pass through ``assess`` and ``accepted`` untouched.
+a group of fewer than ``least_rows`` rows past the base rules goes by the estimate of the small groups of its language, or of
+all that is left of the table where those are too few as well (``pools``), and only a rest below ``least_rows`` rejects nothing;
+repeated rows count as often as they occur; other columns pass through ``assess`` and ``accepted`` untouched.
 """
 
 from __future__ import annotations
@@ -244,19 +245,41 @@ def consistency(share: float) -> float:
     return share / chi_square_cdf(chi_square_limit(share, P), P + 2)
 
 
+POOL = "*"
+
+
+def pools(rows: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
+    """One row per group: its keys and ``p<i>``, those of the pool that its estimate is taken from.
+
+    A group of ``least_rows`` rows is a pool of its own. Smaller ones of equal keys but the last are one pool; where that is too
+    small still, those of equal keys but the last two, and in the end what is left of the whole table. No real key is ``*``.
+    """
+    found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).withColumns(
+        {"_open": F.col("_n") < rules.least_rows, **{f"p{i}": F.col(k) for i, k in enumerate(keys)}}
+    )
+    for depth in reversed(range(len(keys))):
+        found = found.withColumn("_place", F.struct(F.lit(depth), *keys[:depth]))
+        total = found.filter("_open").groupBy("_place").agg(F.sum("_n").alias("_total"))
+        found = found.withColumns({f"p{i}": F.when(F.col("_open"), F.lit(POOL)).otherwise(F.col(f"p{i}")) for i in range(depth, len(keys))})
+        found = found.join(total, "_place", "left").withColumn("_open", F.col("_open") & (F.col("_total") < rules.least_rows)).drop("_place", "_total")
+    return found.filter(~F.col("_open")).drop("_n", "_open")
+
+
 def estimates(rows: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
-    """Centre and scatter per group with ``least_rows`` rows: the better of the starts, re-weighted once."""
-    size = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= rules.least_rows)
-    found = starts(rows, keys, rules).join(size.select(*keys), keys, "left_semi")
+    """Centre and scatter per group, from its pool: the better of the starts, re-weighted once."""
+    own = kept(pools(rows, keys, rules))
+    by = [f"p{i}" for i in range(len(keys))]
+    pooled = rows.join(own, keys).drop(*keys)
+    found = starts(pooled, by, rules)
     for _ in range(rules.steps):
-        found = c_step(rows, found, keys, rules)
-    # a lineage of joins over the same rows ends here; one row per group and start
+        found = c_step(pooled, found, by, rules)
+    # a lineage of joins over the same rows ends here; one row per pool and start
     found = kept(found)
-    fields = F.struct("log_det", "start", *[c for c in found.columns if c not in (*keys, "log_det", "start")])
-    best = found.groupBy(*keys).agg(F.min(fields).alias("b")).select(*keys, "b.*").drop("start", "log_det")
-    inner = rows.join(best, keys).filter(distance() <= F.lit(chi_square_limit(0.975, P)))
-    weighted = inner.groupBy(*keys).agg(*moments([F.col(c) for c in STATS]))
-    return kept(factored(weighted, keys, rules.floors, consistency(0.975)).drop("log_det"))
+    fields = F.struct("log_det", "start", *[c for c in found.columns if c not in (*by, "log_det", "start")])
+    best = found.groupBy(*by).agg(F.min(fields).alias("b")).select(*by, "b.*").drop("start", "log_det")
+    inner = pooled.join(best, by).filter(distance() <= F.lit(chi_square_limit(0.975, P)))
+    weighted = inner.groupBy(*by).agg(*moments([F.col(c) for c in STATS]))
+    return kept(own.join(factored(weighted, by, rules.floors, consistency(0.975)).drop("log_det"), by).drop(*by))
 
 
 def verdicts(rows: DataFrame, estimate: DataFrame, keys: list[str], rules: Rules) -> DataFrame:

@@ -79,6 +79,30 @@ def test_a_small_group_rejects_nothing(spark):
     assert quality.assess(docs).filter("kept").count() == 20
 
 
+def test_small_groups_are_judged_by_the_pool_they_share(spark):
+    """Twelve sources of ten documents: none is large enough, the language is; a lone language goes by the rest of the table."""
+    rng = np.random.default_rng(6)
+    plain = lambda: " ".join("".join(rng.choice(list("abcdefgh"), int(rng.integers(3, 9)))) for _ in range(int(rng.integers(50, 150))))
+    junk = " ".join("#$%&" * 40 + str(k) for k in range(50))
+    rows = [(i, plain(), "en", f"s{i % 12}") for i in range(120)] + [(200 + i, junk, "en", f"s{i}") for i in range(6)]
+    rows += [(300 + i, plain(), f"l{i % 30}", None) for i in range(60)] + [(400, junk, "l1", "x"), (401, junk, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r for r in quality.assess(docs).collect()}
+    assert {i for i, r in found.items() if not r.kept} == {*range(200, 206), 400, 401}
+    assert all(r.distance is not None for r in found.values())
+    assert {r.doc_id for r in quality.accepted(docs).collect()} == {i for i, r in found.items() if r.kept}
+
+
+def test_pools_of_groups(spark):
+    sizes = {("a", "x"): 60, ("a", "y"): 30, ("a", "z"): 25, ("b", "x"): 49, ("c", "x"): 1, ("d", "x"): 50}
+    rows = [(g, h) for (g, h), n in sizes.items() for _ in range(n)]
+    found = {tuple(r)[:2]: tuple(r)[2:] for r in quality.pools(spark.createDataFrame(rows, "g0 string, g1 string"), ["g0", "g1"], quality.Rules()).collect()}
+    assert found == {
+        ("a", "x"): ("a", "x"), ("a", "y"): ("a", "*"), ("a", "z"): ("a", "*"), ("b", "x"): ("*", "*"), ("c", "x"): ("*", "*"),
+        ("d", "x"): ("d", "x"),
+    }
+
+
 def test_chi_square():
     assert math.isclose(quality.chi_square_limit(0.975, 5), 12.832501994030027, rel_tol=1e-9)
 
