@@ -175,6 +175,17 @@ FROM priced CROSS JOIN (VALUES (-0.1::DOUBLE), (-0.01::DOUBLE), (0.01::DOUBLE),
 WHERE price_status = 'ok' GROUP BY organization, xccy, shock"""
 
 
+_JUDGED = f"""WITH {_TRADE}, {_TICK},
+sent AS (
+  SELECT seq, 'trade' AS kind, seq // 1000000 % 41 AS harm, payccy FROM trade
+  UNION ALL SELECT seq, 'tick', seq // 1000000 % 41, NULL FROM tick),
+judged AS (
+  SELECT seq, kind, CASE WHEN harm IN (0, 1) THEN 'not a message'
+    WHEN kind = 'trade' THEN CASE harm WHEN 2 THEN 'bad notional' WHEN 3 THEN 'bad date' WHEN 4 THEN 'unknown frequency'
+      WHEN 5 THEN 'unknown currency' WHEN 9 THEN 'bad value' ELSE '' END
+    ELSE CASE harm WHEN 6 THEN 'bad rate' WHEN 7 THEN 'unknown currency' WHEN 8 THEN 'bad date' ELSE '' END END AS reject_reason
+  FROM sent)"""
+
 SQL: dict[str, str] = {
     "curve_points": f"""WITH {_CURVE}
 SELECT term, days, rate, CAST(days // 360 AS DOUBLE) AS year_fraction, round(1 / (1 + rate * (days // 360)), 9) AS discount_factor
@@ -194,17 +205,11 @@ FROM tick""",
 SELECT seq, id, organization, CAST(tradedate AS VARCHAR) AS tradedate, strftime(settlementdate, '%m/%d/%Y') AS settlement_slash,
   CAST(settlementdate AS VARCHAR) AS settlementdate, CAST(maturitydate AS VARCHAR) AS maturitydate, notional, counterparty,
   longshort, payccy, receiveccy, payindex, receiveindex, frequency, xccy FROM trade""",
-    "rejected_messages": f"""WITH {_TRADE}, {_TICK},
-sent AS (
-  SELECT seq, 'trade' AS kind, seq // 1000000 % 41 AS harm, payccy FROM trade
-  UNION ALL SELECT seq, 'tick', seq // 1000000 % 41, NULL FROM tick),
-judged AS (
-  SELECT seq, kind, CASE WHEN harm IN (0, 1) THEN 'not a message'
-    WHEN kind = 'trade' THEN CASE harm WHEN 2 THEN 'bad notional' WHEN 3 THEN 'bad date' WHEN 4 THEN 'unknown frequency'
-      WHEN 5 THEN 'unknown currency' WHEN 9 THEN 'bad value' ELSE '' END
-    ELSE CASE harm WHEN 6 THEN 'bad rate' WHEN 7 THEN 'unknown currency' WHEN 8 THEN 'bad date' ELSE '' END END AS reject_reason
-  FROM sent)
+    "rejected_messages": f"""{_JUDGED}
 SELECT seq, CASE WHEN reject_reason = '' THEN kind ELSE 'rejected' END AS route, reject_reason FROM judged""",
+    "stream_batch_counts": f"""{_JUDGED}
+SELECT CASE WHEN reject_reason = '' THEN kind ELSE 'rejected' END AS route, reject_reason, count(*) AS messages
+FROM judged GROUP BY 1, 2""",
     "curve_files": f"""WITH {_CURVE}, line AS (SELECT *, days % 23 AS harm FROM curve)
 SELECT CAST(CASE harm WHEN 0 THEN -1 WHEN 1 THEN 99999 ELSE days END AS INTEGER) AS days,
   CASE harm WHEN 2 THEN '' ELSE 'LIBOR' END AS index_name, CASE harm WHEN 4 THEN '2W' ELSE term END AS term,

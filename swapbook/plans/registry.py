@@ -24,6 +24,7 @@ from swapbook.plans import inputs
 from swapbook.schemas import TENORS, VALUATION_KEY
 from swapbook.session import ROCKSDB_PROVIDER, shared_dir, work_dir
 from swapbook.sources import commits, curves, latest_view, messages, valuation_table
+from swapbook.streaming import metrics
 from swapbook.streaming.jobs import CLOCK, as_events, conflated_revaluations, writer
 from swapbook.streaming.sinks import append_sink
 
@@ -321,6 +322,25 @@ def events_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.messages_per_batch(trades.unionByName(ticks))
 
 
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spoiled topic as a stream of several micro-batches: what their observed counts add up to."""
+    folder = work_dir(spark, "metrics")
+    spoiled_messages(spark, sf_dir).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("seq BIGINT, value STRING").option("maxFilesPerTrigger", 4).parquet(f"{folder}/in")
+    typed = metrics.observed(messages.events(messages.decode(stream)))
+    listener = metrics.MetricsListener(spark, f"{folder}/counts")
+    spark.streams.addListener(listener)
+    try:
+        rejects = append_sink(f"{folder}/rejected")
+        run = writer(messages.rejected(typed), rejects, f"{folder}/state", "batch_counts", available_now=True).start()
+        run.awaitTermination()
+        if not listener.wait(run):
+            raise TimeoutError("the counts of the last micro-batches were not written")
+    finally:
+        spark.streams.removeListener(listener)
+    return metrics.by_route(metrics.read(spark, f"{folder}/counts"))
+
+
 def latest_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _latest(spark, sf_dir).select(*VALUATION_KEY, inputs.cents("swapvalue"), stamp("valuationdate"))
 
@@ -423,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "tick_book_value": each_tick_book_value,
     "stream_revalue_on_tick": stream_revalue_on_tick,
     "events_per_batch": events_per_batch,
+    "stream_batch_counts": stream_batch_counts,
     "latest_valuation": latest_valuation,
     "latest_valuation_rows": latest_valuation_rows,
     "latest_for_org": latest_for_org,

@@ -16,7 +16,7 @@ from swapbook.operators.curve import DAY_COUNTS, WHOLE_YEARS
 from swapbook.schemas import TOPIC_PRICED, TOPIC_RAW
 from swapbook.session import build_session
 from swapbook.sources import curves, files, kafka
-from swapbook.streaming import jobs, sinks
+from swapbook.streaming import jobs, metrics, sinks
 
 
 # A micro-batch is sorted by bucket in one worker each, so its size is bounded even when the topics were left alone for long.
@@ -33,6 +33,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--fx-seed", action="store_true", help="start from the rates in fx_data/")
     parser.add_argument("--table", required=True, help="folder of the valuation table")
     parser.add_argument("--latest", help="folder of the kept latest view, if one is wanted")
+    parser.add_argument("--metrics", help="folder of the counts of each micro-batch, if they are wanted")
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--buckets", type=int, default=64, help="parts of a currency's book")
     parser.add_argument("--day-count", choices=DAY_COUNTS, default=WHOLE_YEARS)
@@ -105,6 +106,8 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session(f"swapbook-{args.mode}")
+    if args.metrics:
+        spark.streams.addListener(metrics.MetricsListener(spark, args.metrics))
     for query in start(spark, args):
         query.awaitTermination()
 
