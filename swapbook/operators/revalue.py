@@ -27,6 +27,7 @@ from swapbook.operators.fx import BROADCAST_ROWS
 from swapbook.operators.pricing import price_with_rates
 from swapbook.schemas import CURRENCIES
 from swapbook.session import checkpointed
+from swapbook.sources import arrival
 
 DAY_US = 86_400_000_000  # a day, where seq counts microseconds
 
@@ -178,3 +179,18 @@ def revalue_on_tick(
         revaluation_pairs(messages, ticks, width), curve, F.col("tick_date"), day_count
     )
     return priced.drop("valuationdate").withColumn("valuationdate", F.timestamp_micros("close_seq"))
+
+
+def revalue_in_order(
+    messages: DataFrame,
+    ticks: DataFrame,
+    curve: DataFrame,
+    day_count: str = WHOLE_YEARS,
+    width: int = DAY_US,
+) -> DataFrame:
+    """``revalue_on_tick`` over several topics: ``seq`` is a number of ``arrival.numbered``, ``width`` in microseconds.
+
+    A trade of the same millisecond as a tick is priced by it if it lies before it in topic, partition and offset.
+    """
+    priced = revalue_on_tick(messages, ticks, curve, day_count, arrival.width(width))
+    return priced.withColumn("valuationdate", F.timestamp_micros(arrival.micros(F.col("close_seq"))))

@@ -207,6 +207,12 @@ SELECT seq, id, organization, CAST(tradedate AS VARCHAR) AS tradedate, strftime(
   longshort, payccy, receiveccy, payindex, receiveindex, frequency, xccy FROM trade""",
     "rejected_messages": f"""{_JUDGED}
 SELECT seq, CASE WHEN reject_reason = '' THEN kind ELSE 'rejected' END AS route, reject_reason FROM judged""",
+    "topic_order": f"""WITH {_MESSAGE}, {_TICK},
+record AS (
+  SELECT 'xccy_swaps_' || xccy AS topic, CAST(seq % 3 AS INTEGER) AS partition, seq AS "offset", seq - seq % 3600000000 AS arrived
+  FROM (SELECT xccy, seq FROM message UNION ALL SELECT price, seq FROM tick) m)
+SELECT *, arrived // 1000 * 1048576 + dense_rank() OVER (PARTITION BY arrived ORDER BY topic, partition, "offset") - 1 AS seq
+FROM record""",
     "stream_batch_counts": f"""{_JUDGED}
 SELECT CASE WHEN reject_reason = '' THEN kind ELSE 'rejected' END AS route, reject_reason, count(*) AS messages
 FROM judged GROUP BY 1, 2""",

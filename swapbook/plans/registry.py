@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swapbook.functions import dates
-from swapbook.functions.keys import window_of
+from swapbook.functions.keys import topic_for, window_of
 from swapbook.functions.money import in_chart_units
 from swapbook.operators import book, curve, portfolio, risk, schedule
 from swapbook.operators.curve import ACT_360, WHOLE_YEARS
@@ -21,9 +21,9 @@ from swapbook.operators.pricing import OK, leg_values, price
 from swapbook.operators.revalue import DAY_US, revalue_on_tick
 from swapbook.operators.tick_value import tick_book_value
 from swapbook.plans import inputs
-from swapbook.schemas import TENORS, VALUATION_KEY
+from swapbook.schemas import TENORS, TOPIC_RAW, VALUATION_KEY
 from swapbook.session import ROCKSDB_PROVIDER, shared_dir, work_dir
-from swapbook.sources import commits, curves, latest_view, messages, valuation_table
+from swapbook.sources import arrival, commits, curves, latest_view, messages, valuation_table
 from swapbook.streaming import metrics
 from swapbook.streaming.jobs import CLOCK, as_events, conflated_revaluations, writer
 from swapbook.streaming.sinks import append_sink
@@ -322,6 +322,18 @@ def events_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.messages_per_batch(trades.unionByName(ticks))
 
 
+def topic_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages in their topics, three partitions each, under a clock that only moves once an hour; in order of arrival."""
+    trades, ticks = inputs.trade_messages(spark, sf_dir), inputs.ticks(spark, sf_dir)
+    sent = trades.select("xccy", "seq").unionByName(ticks.select(F.col("price").alias("xccy"), "seq"))
+    hour = F.lit(3_600_000_000)
+    records = sent.select(
+        topic_for(TOPIC_RAW, F.col("xccy")).alias("topic"), F.pmod("seq", F.lit(3)).cast("int").alias("partition"),
+        F.col("seq").alias("offset"), (F.col("seq") - F.pmod("seq", hour)).alias("arrived"),
+    )
+    return arrival.numbered(records)
+
+
 def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spoiled topic as a stream of several micro-batches: what their observed counts add up to."""
     folder = work_dir(spark, "metrics")
@@ -443,6 +455,7 @@ QUERIES: dict[str, Query] = {
     "tick_book_value": each_tick_book_value,
     "stream_revalue_on_tick": stream_revalue_on_tick,
     "events_per_batch": events_per_batch,
+    "topic_order": topic_order,
     "stream_batch_counts": stream_batch_counts,
     "latest_valuation": latest_valuation,
     "latest_valuation_rows": latest_valuation_rows,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swapbook.schemas import CURRENCIES, TOPIC_RAW
+from swapbook.sources.arrival import place
 
 
 def topics(prefix: str = TOPIC_RAW, currencies: Iterable[str] = CURRENCIES) -> list[str]:
@@ -37,17 +38,19 @@ def source_options(
 
 
 def message_values(records: DataFrame) -> DataFrame:
-    """Message text with its place in the topic.
+    """Message text with its time and place.
 
-    Trades and ticks of a currency share a topic, so with one partition per topic the offset
-    gives their order. Messages of different topics have no order among each other; ``arrived``
-    (microseconds) is the broker's clock, for a replay by time windows.
+    ``seq`` is the broker's clock in microseconds and ``place`` tells messages of one time apart, so topics and
+    partitions have one order, see ``arrival``. Topic, partition and offset stay, for a replay.
     """
     return records.select(
         F.col("value").cast("string").alias("value"),
-        F.col("offset").alias("seq"),
+        F.unix_micros("timestamp").alias("seq"),
+        place().alias("place"),
         F.unix_micros("timestamp").alias("arrived"),
         "topic",
+        "partition",
+        "offset",
     )
 
 

@@ -178,9 +178,10 @@ def test_kafka_options_and_records(spark):
     assert json.loads(record.value) == {
         "source_stream": "fx_stream", "date": "1/1/2024", "base": "USD", "price": "EUR", "rate": "0.7"
     }
-    raw = spark.createDataFrame([(bytearray(b"x"), 5, "t")], "value BINARY, offset BIGINT, topic STRING")
+    raw = spark.createDataFrame([(bytearray(b"x"), 5, 2, "t")], "value BINARY, offset BIGINT, partition INT, topic STRING")
     row = kafka.message_values(raw.withColumn("timestamp", F.timestamp_micros(F.lit(7)))).first()
-    assert (row.value, row.seq, row.arrived) == ("x", 5, 7)
+    assert (row.value, row.seq, row.arrived, row.topic, row.partition, row.offset) == ("x", 7, 7, "t", 2, 5)
+    assert row.place == "t " + "2".zfill(10) + "5".zfill(20)
 
 
 def test_both_sinks_see_the_batch(spark, folder):
