@@ -5,6 +5,8 @@ import datetime as dt
 import random
 
 import data
+import pandas as pd
+import pyarrow as pa
 import pytest
 import replay
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from swapbook.operators.revalue import DAY_US, revalue_in_order
 from swapbook.schemas import TRADE_COLUMNS
 from swapbook.sources import arrival, kafka, messages
 from swapbook.streaming import jobs, sinks
+from swapbook.streaming.frames import RATE, packed, unpacked
 
 SCHEMA = "value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
 CLOCK_US = 6 * 3_600_000_000
@@ -129,3 +132,11 @@ def test_each_tick_sees_what_lies_before_it(spark, folder):
     rows = spark.read.parquet(f"{folder}/out").collect()
     assert collections.Counter((r.tick_seq, r.id, r.trade_seq, found(r.swapvalue), r.price_status) for r in rows) == expected
     assert sum(expected.values()) > 50
+
+
+def test_state_from_before_messages_had_a_place():
+    old = pa.schema([field for field in RATE if field.name != "place"])
+    rates = pd.DataFrame({"seq": [4], "tick_date": [dt.date(2024, 1, 2)], "price": ["EUR"], "rate": [0.7]})
+    found = unpacked(packed(rates, old), RATE)
+    assert list(found.columns) == RATE.names and found["place"].tolist() == [""] and found["seq"].tolist() == [4]
+    assert unpacked(packed(found, RATE), RATE).equals(found)
