@@ -7,8 +7,9 @@ address stays a valid one; a given name is drawn from names of the gender that t
 derived from a SHA-256 of key, kind, entity and attempt.
 
 The distinct entities of the whole table get their surrogates in one place: those that collide with each other or
-with a real entity are derived again with the next attempt until none does, so different entities stay different and
-an entity has one surrogate wherever it occurs. Texts meet their surrogates by the list of their matches: equal lists
+with a real entity are derived again with the next attempt until none does, so different entities stay different (names
+too: each surname has a surrogate of its own, and so has each person) and an entity has one surrogate wherever it
+occurs. Where a short form has no free value left, a surrogate is a letter longer. Texts meet their surrogates by the list of their matches: equal lists
 share one row, and a list is as long as its text has matches. Texts without a match are not moved at all.
 
 Defined cases: a null text stays null; a text without matches stays as it is; repeated rows are replaced alike;
@@ -17,6 +18,8 @@ other columns pass through, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,34 +99,50 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(digits, ""), weigh), F.lit(0), add)
 
 
-def _name(entity: Column, seed: Column, key: str) -> Column:
-    """Form of address kept; each further word has a surrogate of its own, so that a surname is the same everywhere."""
-    title = F.regexp_extract(entity, "^\\S+", 0)
-    rest = F.split(F.substring(entity, F.length(title) + 2, F.length(entity)), " ")
-    gender = F.when(F.rlike(title, F.lit(FEMALE)), "f").otherwise("m")
-    script = F.when(F.rlike(entity, F.lit("\\p{IsCyrillic}")), "cyrillic").when(F.rlike(entity, F.lit("\\p{IsGreek}")), "greek").otherwise("latin")
+def widened(kind: Column, entity: Column, attempt: Column) -> Column:
+    """``entity``, a letter longer after every ``ROUNDS`` attempts: short forms have few values, and all may be taken.
 
-    def given(word: Column) -> Column:
-        out = word
-        for (s, g), names in GIVEN.items():
-            pool = F.array(*[F.lit(n) for n in names])
-            own = F.get(pool, _pick(F.concat(F.lit(key), word), F.lit(-1), len(names)))
-            out = F.when((script == s) & (gender == g), own).otherwise(out)
-        return out
+    Card numbers and IP addresses stay: their length is fixed and leaves room for more than a billion of them.
+    """
+    greek, cyrillic = F.rlike(entity, F.lit("\\p{IsGreek}")), F.rlike(entity, F.lit("\\p{IsCyrillic}"))
+    letter = F.when(greek, "α").when(cyrillic, "а").otherwise("a")
+    more = F.repeat(letter, F.floor(attempt / ROUNDS).cast("int"))
+    digits = F.repeat(F.lit("0"), F.floor(attempt / ROUNDS).cast("int"))
+    return (
+        F.when(kind == "email", F.concat(F.regexp_replace(more, ".", "a"), entity))
+        .when(kind == "phone", F.concat(entity, digits))
+        .when(kind.isin("secret", "name"), F.concat(entity, more))
+        .otherwise(entity)
+    )
 
-    def word(w: Column, i: Column) -> Column:
-        return F.when((F.size(rest) > 1) & (i == 0), given(w)).otherwise(scrambled(w, seed))
 
-    return F.concat_ws(" ", title, F.array_join(F.transform(rest, word), " "))
+def _seed(key: str, kind: Column, value: Column, attempt: Column) -> Column:
+    return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, value, attempt.cast("string")), 256)
 
 
-def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column:
-    """A candidate of the form of ``entity``."""
+def _name(entity: Column, surname: Column, attempt: Column, key: str) -> Column:
+    """Form of address kept, the surname by its surrogate, a given name from the names of its gender.
+
+    Later attempts draw other given names, and after ``ROUNDS`` of them a given name like any other word.
+    """
+    title = F.regexp_extract(entity, "^\\S+", 0)
+    rest = F.split(F.substring(entity, F.length(title) + 2, F.length(entity)), " ")
+    gender = F.when(F.rlike(title, F.lit(FEMALE)), "f").otherwise("m")
+    script = F.when(F.rlike(entity, F.lit("\\p{IsCyrillic}")), "cyrillic").when(F.rlike(entity, F.lit("\\p{IsGreek}")), "greek").otherwise("latin")
+    word = F.get(rest, F.lit(0))
+    first = F.concat(F.lit(key), word)
+    drawn = F.when(attempt == 0, first).otherwise(F.concat_ws("\x1f", first, attempt.cast("string")))
+    given = scrambled(widened(F.lit("name"), word, attempt), _seed(key, F.lit("given"), entity, attempt))
+    for (s, g), names in GIVEN.items():
+        own = F.get(F.array(*[F.lit(n) for n in names]), _pick(drawn, F.lit(-1), len(names)))
+        given = F.when((attempt < ROUNDS) & (script == s) & (gender == g), own).otherwise(given)
+    return F.concat_ws(" ", title, F.when(F.size(rest) > 1, given), surname)
 
-    def seeded(value: Column) -> Column:
-        return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, value, attempt.cast("string")), 256)
 
-    seed = seeded(entity)
+def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column:
+    """A candidate of the form of ``entity``; of kind name it is one of a surname."""
+    seed = _seed(key, kind, entity, attempt)
+    entity = widened(kind, entity, attempt)
     at = F.length(F.regexp_extract(entity, "\\.[A-Za-z]+$", 0))
     email = F.concat(
         scrambled(F.substring(entity, F.lit(1), F.length(entity) - at), seed), F.substring(entity, F.length(entity) - at + 1, at)
@@ -138,44 +157,58 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
     country = F.length(F.regexp_extract(entity, "^\\+\\d{1,3}(?=[ .(-])", 0))
     phone = scrambled(entity, seed, F.greatest(country, F.lit(2)))
     secret = scrambled(entity, seed, F.length(F.regexp_extract(entity, "^[^=]*=[ \\t]*[\"']?", 0)))
-    # by the surname alone: its seed must not depend on the rest of the mention
-    surname = seeded(F.regexp_extract(entity, "\\S+$", 0))
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", F.array_join(octets, "."))
         .when(kind == "card", card)
         .when(kind == "phone", phone)
         .when(kind == "secret", secret)
-        .otherwise(_name(entity, surname, key))
+        .otherwise(scrambled(entity, seed))
     )
 
 
-def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, entity, surrogate) for distinct entities: no surrogate twice, none that is an entity.
+def _apart(items: DataFrame, candidate: Callable[[Column], Column]) -> DataFrame:
+    """``items`` (kind, entity and more) with ``surrogate``: no surrogate twice in a kind, none that is an entity of it.
 
-    Names are left out of the search for twins: given names come from short lists, and what keeps two persons apart is
-    the surname.
+    ``candidate`` tells the surrogate of an attempt; items whose candidate is taken come again with the next one.
     """
-    everyone = kept(entities)
+    everyone = kept(items)
     settled = None
     waiting = everyone.withColumn("attempt", F.lit(0))
     while True:
-        tried = kept(waiting.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), key)))
+        tried = kept(waiting.withColumn("surrogate", candidate(F.col("attempt"))))
         taken = everyone.select("kind", F.col("entity").alias("surrogate")).withColumn("_owner", F.lit(True))
         if settled is not None:
             taken = taken.unionByName(settled.select("kind", "surrogate").withColumn("_owner", F.lit(True)))
         first = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("entity")) == 1
-        judged = tried.withColumn("_first", first | (F.col("kind") == "name")).join(taken.distinct(), ["kind", "surrogate"], "left")
-        judged = kept(judged.withColumn("_good", F.col("_first") & F.col("_owner").isNull() | (F.col("attempt") >= ATTEMPTS)))
-        good = judged.filter("_good").select("kind", "entity", "surrogate")
+        judged = tried.withColumn("_first", first).join(taken.distinct(), ["kind", "surrogate"], "left")
+        judged = kept(judged.withColumn("_good", F.col("_first") & F.col("_owner").isNull()))
+        good = judged.filter("_good").select(*items.columns, "surrogate")
         settled = good if settled is None else settled.unionByName(good)
-        waiting = judged.filter("not _good").select("kind", "entity", (F.col("attempt") + 1).alias("attempt"))
+        waiting = judged.filter("not _good").select(*items.columns, (F.col("attempt") + 1).alias("attempt"))
         if waiting.isEmpty():
             return settled
 
 
-#: Ends the search where a form has no free value left (a name of one letter, say); the last candidate then stands.
-ATTEMPTS = 40
+def surrogates(entities: DataFrame, key: str) -> DataFrame:
+    """(kind, entity, surrogate) for distinct entities: no surrogate twice in a kind, none that is an entity of it.
+
+    Surnames get theirs first, each one its own, so that a surname is the same everywhere and two are never mixed up.
+    Mentions then differ by their given names, which are drawn again where two persons of one surname would meet.
+    """
+    kind, entity = F.col("kind"), F.col("entity")
+    entities = kept(entities)
+    others = _apart(entities.filter(kind != "name"), lambda attempt: surrogate(kind, entity, attempt, key))
+    names = entities.filter(kind == "name").withColumn("_surname", F.regexp_extract(entity, "\\S+$", 0))
+    surnames = names.select("kind", F.col("_surname").alias("entity")).distinct()
+    known = _apart(surnames, lambda attempt: surrogate(kind, entity, attempt, key))
+    named = names.join(known.select(F.col("entity").alias("_surname"), F.col("surrogate").alias("_new")), "_surname")
+    persons = _apart(named, lambda attempt: _name(entity, F.col("_new"), attempt, key))
+    return others.unionByName(persons.select("kind", "entity", "surrogate"))
+
+
+#: Attempts of a form as it is, before it becomes a letter longer.
+ROUNDS = 4
 
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:

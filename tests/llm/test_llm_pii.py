@@ -101,3 +101,22 @@ def test_long_runs(spark):
     """Linear in the text: runs of letters, marks and digits without an address."""
     runs = ["x" * 300_000, "a." * 150_000, "1" * 300_000, "a-b_" * 75_000, "Aa" * 150_000, "x" * 200_000 + "@", "1.2." * 75_000]
     assert replaced(spark, runs) == runs
+
+
+def test_names_stay_apart(spark):
+    """More given names than the list of surrogates, and more surnames than two letters allow without twins."""
+    given = [f"{a}{b}rt" for a in "ABCD" for b in "aeiou"]
+    surnames = [f"{a}{b}" for a in "ABCDEFGHIJ" for b in "abcdefghij"]
+    texts = [f"Mr {g} Smith" for g in given] + [f"Mr. {s}" for s in surnames]
+    found = replaced(spark, texts)
+    assert len(set(found)) == len(texts) and not set(found) & set(texts)
+    assert len({t.split()[-1] for t in found[: len(given)]}) == 1
+    assert all(re.fullmatch(r"Mr [A-Z][a-z]+ [A-Z][a-z]{4}", t) for t in found[: len(given)])
+    assert all(re.fullmatch(r"Mr\. [A-Z][a-z]+", t) for t in found[len(given) :])
+
+
+def test_no_free_value_left(spark):
+    """All addresses of the shortest form are there: a surrogate gets longer, none is one of them."""
+    texts = [f"{a}@{b}.de" for a in range(10) for b in range(10)]
+    found = replaced(spark, texts)
+    assert len(set(found)) == len(texts) and not set(found) & set(texts) and all(ANY.fullmatch(t) for t in found)
