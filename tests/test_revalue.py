@@ -108,3 +108,13 @@ def test_both_legs_usd_stay_in_a_book_of_their_own(spark):
 def test_messages_per_batch(spark):
     frame = spark.createDataFrame([(0,), (9_999_999,), (10_000_000,), (-1,)], "seq BIGINT")
     assert {(r.batch, r.messages) for r in book.messages_per_batch(frame).collect()} == {(0, 2), (1, 1), (-1, 1)}
+
+
+def test_tasks_of_the_result(spark):
+    """A given number of tasks holds the same rows, each trade in one of them."""
+    messages, ticks, curve = (f(spark, "/root/testdata/sf0.001") for f in (inputs.trade_messages, inputs.ticks, inputs.curve))
+    some = revalue_on_tick(messages, ticks, curve)
+    dealt = revalue_on_tick(messages, ticks, curve, tasks=5).withColumn("_task", F.spark_partition_id())
+    assert dealt.groupBy("xccy", "id").agg(F.countDistinct("_task").alias("n")).filter("n > 1").isEmpty()
+    assert dealt.select("_task").distinct().count() == 5
+    assert some.exceptAll(dealt.drop("_task")).isEmpty() and some.count() == dealt.count()
