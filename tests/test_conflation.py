@@ -9,7 +9,8 @@ from test_revalue import event_log
 from test_streaming import same, stored
 
 from swapbook.operators.revalue import DAY_US, revalue_on_tick
-from swapbook.streaming import jobs, sinks
+from swapbook.sources import messages
+from swapbook.streaming import conflation, jobs, sinks
 
 
 def run(spark, folder, curve, schema, **options):
@@ -65,3 +66,30 @@ def test_windows_close_as_the_watermark_passes(spark, folder):
     put(spark, folder, events, end=True)
     run(spark, folder, curve, events.schema, delay="1 hour")
     assert set(stored(spark, folder)) == {(DAY_US // 2, "SWAP1"), (3 * DAY_US, "SWAP1")}
+
+
+def test_only_last_ticks_are_sent_to_the_buckets(spark):
+    trades, ticks = event_log(62, trades=40, ticks=200, days=3)
+    events = jobs.as_events(data.trade_frame(spark, trades), data.tick_frame(spark, [*ticks, (7, None, "USD", None, 0.5)]))
+    left = events.coalesce(1).mapInArrow(conflation.last_ticks(messages.TICK, DAY_US), events.schema)
+    rows = left.collect()
+    assert sorted(r.seq for r in rows if r.kind == messages.TRADE) == sorted(t["seq"] for t in trades)
+    newest = {}
+    for seq, _, _, ccy, rate in sorted(ticks, key=lambda t: t[0]):
+        newest[ccy, seq // DAY_US] = (seq, rate)
+    known = [(r.price, r.seq // DAY_US, r.seq, r.rate) for r in rows if r.kind == messages.TICK and r.price is not None]
+    assert sorted(known) == sorted((c, w, *at) for (c, w), at in newest.items()) and len(known) < len(ticks) / 4
+    assert [r.seq for r in rows if r.kind == messages.TICK and r.price is None] == [7]
+
+
+def test_own_ticks_only(spark, folder):
+    trades, ticks = event_log(63, trades=120, ticks=90, days=4)
+    curve = data.curve_frame(spark, data.curve_rates())
+    trade_frame, tick_frame = data.trade_frame(spark, trades), data.tick_frame(spark, ticks)
+    events = jobs.as_events(trade_frame, tick_frame)
+    for part in range(3):
+        put(spark, folder, events.filter(F.col("seq") % 3 == part))
+    put(spark, folder, events, end=True)
+    run(spark, folder, curve, events.schema, delay="10 days", all_currencies=False)
+    batch = revalue_on_tick(trade_frame, tick_frame, curve, width=DAY_US)
+    same(stored(spark, folder), {(r.close_seq, r.id): (r.seq, r.swapvalue, r.price_status) for r in batch.collect()})
