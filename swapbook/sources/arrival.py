@@ -28,25 +28,21 @@ def place() -> Column:
 def numbered(records: DataFrame, arrived: str = "arrived") -> DataFrame:
     """``records`` (topic, partition, offset and ``arrived`` in microseconds) with ``seq``, a number in the order of arrival.
 
-    A number is the millisecond and the place within it. Messages are counted per partition and millisecond, which is what
-    one broker takes in a millisecond, and the partitions of a millisecond are strung together from their counts alone.
-    More than 2 ** 20 messages in a millisecond are an error. A message delivered twice keeps one number; records without topic, partition,
-    offset or time have none, and are last. Columns of other names stay as they are.
+    A number is the millisecond and the place within it: the rank among the messages of the millisecond, so the records are
+    moved and sorted once. More than 2 ** 20 messages in a millisecond are an error, which bounds what is ranked together.
+    A message delivered twice keeps one number; records without topic, partition, offset or time have none, and are last.
+    Columns of other names stay as they are.
     """
+    place = ("topic", "partition", "offset")
     ms = F.call_function("div", F.col(arrived) - F.pmod(F.col(arrived), F.lit(1000)), F.lit(1000).cast("long"))
     whole = F.col(arrived).isNotNull() & F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull()
-    timed = records.withColumn("_ms", F.when(whole, ms))
-    part = ["_ms", "topic", "partition"]
-    inside = W.partitionBy(*part).orderBy("offset")
-    spots = timed.filter("_ms is not null").select(*part, "offset").distinct().withColumn("_no", F.row_number().over(inside))
-    sizes = spots.groupBy(*part).agg(F.max("_no").alias("_n"))
-    before = W.partitionBy("_ms").orderBy("topic", "partition").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(*part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    spot = F.col("_start") + F.col("_no") - 1
+    # records without a number are not ranked; a hash deals them to many tasks
+    timed = records.drop("seq").withColumn("_ms", F.when(whole, ms))
+    spare = F.when(F.col("_ms").isNull(), F.xxhash64(arrived, *place))
+    spot = F.dense_rank().over(W.partitionBy("_ms", spare).orderBy(*place)).cast("long") - 1
     fits = F.when(spot < (1 << BITS), spot).otherwise(F.raise_error(F.lit("more messages in a millisecond than numbers")).cast("long"))
-    numbers = spots.join(starts, part).select(*part, "offset", (F.shiftleft("_ms", BITS) + fits).alias("seq"))
-    found = timed.drop("seq").join(numbers, [*part, "offset"], "left")
-    return found.select(*[c for c in records.columns if c != "seq"], "seq")
+    seq = F.when(F.col("_ms").isNotNull(), F.shiftleft("_ms", BITS) + fits)
+    return timed.select(*[c for c in records.columns if c != "seq"], seq.alias("seq"))
 
 
 def width(micros: int) -> int:

@@ -74,6 +74,15 @@ def test_defined_cases_of_numbers(spark):
     assert [arrival.width(DAY_US), spark.range(1).select(arrival.micros(F.lit(7 * one + 3))).first()[0]] == [86_400_000 * one, 7000]
 
 
+def test_numbers_take_one_move_of_the_records(spark):
+    rows = [(1000, "a", 0, n // 2) for n in range(20)] + [(None, "a", 0, 1), (1000, "a", 1, 0)]
+    found = arrival.numbered(spark.createDataFrame(rows, "arrived LONG, topic STRING, partition INT, offset LONG"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    one = 1 << arrival.BITS
+    assert sorted(r.seq for r in found.collect() if r.seq is not None) == sorted([one + n // 2 for n in range(20)] + [one + 10])
+
+
 def test_more_than_a_millisecond_holds_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(arrival, "BITS", 2)
     five = spark.range(5).select(F.lit(0).cast("long").alias("arrived"), F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
