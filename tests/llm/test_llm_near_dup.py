@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from swapbook.llm import near_dup
+from swapbook.llm import near_dup, store
 from swapbook.llm.components import components
 
 TABLES = "/root/testdata/sf0.001"
@@ -102,3 +102,30 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 300), (300, 500), (9, 9)], "a long, b long")
     labels = {r.node: r.component for r in components(links).collect()}
     assert labels == {**{i: 0 for i in range(101)}, 300: 300, 500: 300}
+
+
+def test_texts_that_are_alike_but_apart_form_no_pairs(spark):
+    shared = [10_000 + i for i in range(80)]
+    sets, nodes = [], []
+    for k in range(30):  # 80 of 100 shingles in all of them: two thirds of each union
+        sets.append((k, sorted(shared + [100 * k + i for i in range(20)])))
+        nodes.append((k, k))
+    sets.append((30, sorted(shared + list(range(17)) + [90_000, 90_001, 90_002])))  # 97 of 103 with the first one
+    nodes.append((30, 30))
+    pairs = near_dup._by_prefixes(spark.createDataFrame(nodes, "node long, component long"), spark.createDataFrame(sets, "node long, items array<long>"))
+    assert [(r.a, r.b) for r in pairs.collect()] == [(0, 30)]
+
+
+def test_links_lie_in_few_partitions(spark):
+    links = spark.range(50).selectExpr("id as a", "id + 1 as b").repartition(40)
+    assert components(links).rdd.getNumPartitions() == 1
+
+
+def test_sets_are_not_moved_by_a_join(spark):
+    sets = spark.createDataFrame([(i, [i]) for i in range(100)], "node long, items array<long>")
+    with store.bucketed(sets, "node") as table:
+        joined = spark.range(100).withColumnRenamed("id", "node").hint("merge").join(table, "node")
+        assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        assert joined.count() == 100
+        name = [t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+    assert name and not [t.name for t in spark.catalog.listTables() if t.name in name]
