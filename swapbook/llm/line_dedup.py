@@ -53,11 +53,10 @@ def boilerplate(pages: DataFrame, host_col: str, text: str, ratio: float, least_
     """(_host, _lines): hashes of the lines each host repeats on too many of its pages."""
     named = pages.select(F.coalesce(F.concat(F.lit("="), F.col(host_col)), F.lit("")).alias("_host"), F.col(text).alias("_t"))
     hashes = F.array_distinct(F.transform(F.filter(_lines(F.col("_t")), _with_word), lambda x: F.xxhash64(x)))
-    # a page's own row has no line: it counts the pages
-    each = F.explode(F.array_append(F.coalesce(hashes, F.array().cast("array<bigint>")), F.lit(None).cast("bigint")))
-    counted = named.select("_host", each.alias("_line")).groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("_n"))
-    totals = counted.filter("_line is null").select("_host", F.col("_n").alias("_pages")).filter(F.col("_pages") >= least_pages)
-    often = counted.filter(F.col("_line").isNotNull() & (F.col("_n") >= least_pages))
+    counted = named.select("_host", F.explode(hashes).alias("_line")).groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("_n"))
+    # pages are counted without a look at their texts
+    totals = named.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages")).filter(F.col("_pages") >= least_pages)
+    often = counted.filter(F.col("_n") >= least_pages)
     over = often.join(totals, "_host").filter(F.col("_n") > F.col("_pages") * F.lit(ratio))
     return over.groupBy("_host").agg(F.sort_array(F.collect_list("_line")).alias("_over"))
 

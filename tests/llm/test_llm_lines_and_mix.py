@@ -89,3 +89,10 @@ def test_repeated_rows(spark):
     rows = [(7, "a b c", "s")] * 6 + [(None, "a", "s"), (8, "b", "s")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert mixing.mix(df).count() == 8
+
+
+def test_pages_are_counted_without_their_texts(spark):
+    pages = spark.createDataFrame([(i, "a", f"menu\nbody {i}") for i in range(10)], "page_id long, host string, text string")
+    over = line_dedup.boilerplate(pages, "host", "text", 0.3, 5)
+    assert over._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
+    assert [len(r._over) for r in over.collect()] == [1]
