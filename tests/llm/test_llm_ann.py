@@ -67,3 +67,22 @@ def test_defined_cases(spark):
     assert found(ann.nearest(few, F.col("id") % 100 == 0)) == {0: [(1, 1.0)]}
     assert found(ann.nearest(few.limit(0), F.col("id") % 100 == 0)) == {}
     assert found(ann.nearest(few.filter("vec_id = 0"), F.col("id") % 100 == 0)) == {}
+
+
+def test_lists_of_a_query_do_not_grow_with_the_forest():
+    rng = np.random.default_rng(3)
+    for n in (500, 5000):
+        forest = ann.Forest(rng.normal(size=(n, 4)), ann.Settings(trees=3, leaf=8))
+        assert len(forest.group) == forest.first[-1] and len(set(forest.group)) == 3 * ann.RANGES
+        # a range lies in one tree
+        assert all(set(forest.group[a:b]) == set(range(k * ann.RANGES, (k + 1) * ann.RANGES)) for k, (a, b) in enumerate(zip(forest.first, forest.first[1:])))
+
+
+def test_blocks_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(ann, "QUERIES", 3)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    settings = ann.Settings(trees=2, leaf=4, sample=30)
+    got, truth = found(ann.nearest(df, F.col("id") % 10 == 0, settings=settings)), brute(rows, range(0, 120, 10), 10)
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in truth.items()}
