@@ -116,6 +116,25 @@ def test_texts_that_are_alike_but_apart_form_no_pairs(spark):
     assert [(r.a, r.b) for r in pairs.collect()] == [(0, 30)]
 
 
+@pytest.mark.parametrize("counters", [1 << 21, 4])
+def test_prefixes_make_no_row_per_shingle(spark, monkeypatch, counters):
+    monkeypatch.setattr(near_dup, "COUNTERS", counters)
+    shared, rng = list(range(10_000, 10_080)), random.Random(5)
+    sets = [(k, sorted(shared + [100 * k + i for i in range(20)])) for k in range(60)]
+    sets += [(100 + k, sorted(rng.sample(sets[k][1], 97) + [50_000 + k])) for k in range(20)] + [(200, [7]), (201, [7]), (202, [])]
+    nodes = spark.createDataFrame([(i, i) for i, _ in sets], "node long, component long")
+    frame = spark.createDataFrame(sets, "node long, items array<long>")
+    of = {i: set(s) for i, s in sets}
+    alike = {(a, b) for a in of for b in of if a < b and of[a] and 100 * len(of[a] & of[b]) >= 75 * len(of[a] | of[b])}
+    pairs = near_dup._by_prefixes(nodes, frame)
+    assert len(alike) == 21 and alike <= {(r.a, r.b) for r in pairs.collect()}
+    if counters > 4:  # a quarter of each set at most, and none that has no second owner
+        full = nodes.join(frame, "node")
+        posted = near_dup._posted(full, near_dup._levels(full)).collect()
+        assert len(posted) < sum(map(len, of.values())) / 6
+        assert all(r.before <= r.n / 4 and sum(r.item in s for s in of.values()) > 1 for r in posted)
+
+
 def test_links_lie_in_few_partitions(spark):
     links = spark.range(50).selectExpr("id as a", "id + 1 as b").repartition(40)
     assert components(links).rdd.getNumPartitions() == 1
