@@ -86,3 +86,29 @@ def test_pairs_stay_apart_as_plain_merging_says():
         assert model._apart(a, b) == plain
         model.ordered = True
     assert apart > 100
+
+
+def test_both_patterns_find_the_same_words():
+    with open(TOKENIZER, encoding="utf-8") as file:
+        model = bpe.ByteBpe(file.read())
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    alike = [c for c in every if bpe.plain(c)]
+    assert {*map(chr, range(0x1C)), *map(chr, range(0x20, 0x80)), *"äßéłж日م\x85\u3000"} <= set(alike) and not bpe.plain("½")
+    rng = random.Random(7)
+    for _ in range(300):
+        text = "".join(rng.choice(rng.choice([alike, "ab1 '_s\n\t\u2003", every])) for _ in range(200))
+        assert model.words(text) == bpe.WORDS.findall(text)
+        assert bpe.PLAIN_WORDS.findall(p := "".join(c for c in text if bpe.plain(c))) == bpe.WORDS.findall(p)
+
+
+def test_frequent_words_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(bpe, "TABLE_WORDS", 20)
+    with open(TOKENIZER, encoding="utf-8") as file:
+        model = bpe.ByteBpe(file.read())
+    met, walk = [], model.encode_words
+    monkeypatch.setattr(model, "encode_words", lambda words: walk(met.append(w) or w for w in words))
+    for k in range(40):
+        text = "often " + " ".join(f"rare{k}x{i}" for i in range(10))
+        assert model.decode(model.encode([text])[0]) == text
+        assert len(model.table) + len(model.old) < 150
+    assert met.count("often") == 1
