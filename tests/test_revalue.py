@@ -8,7 +8,7 @@ import replay
 from pyspark.sql import functions as F
 
 from swapbook.operators import book, revalue
-from swapbook.operators.revalue import DAY_US, revalue_on_tick, seen_by_close
+from swapbook.operators.revalue import DAY_US, revalue_on_each_tick, revalue_on_tick, seen_by_close
 
 DAY0 = dt.date(2024, 1, 1)
 
@@ -119,3 +119,41 @@ def test_tasks_of_the_result(spark):
     assert dealt.groupBy("xccy", "id").agg(F.countDistinct("_task").alias("n")).filter("n > 1").isEmpty()
     assert 1 < dealt.select("_task").distinct().count() <= 5
     assert some.exceptAll(dealt.drop("_task")).isEmpty() and some.count() == dealt.count()
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+@pytest.mark.parametrize("two_foreign", [0.0, 0.5])
+@pytest.mark.parametrize("small", [True, False])
+def test_every_tick_equals_event_by_event(spark, monkeypatch, block, two_foreign, small):
+    """Each single tick re-prices its book, whatever the blocks and joins."""
+    monkeypatch.setattr(revalue, "BLOCK", block)
+    if not small:
+        monkeypatch.setattr(revalue, "BROADCAST_ROWS", 0)
+    trades, ticks = event_log(57, hot=4, two_foreign=two_foreign)
+    # ticks for another date in between, and one at the time of a trade
+    moved = [(s, d - dt.timedelta(days=1) if i % 7 == 0 else d, *rest) for i, (s, d, *rest) in enumerate(ticks)]
+    taken = {t[0] for t in moved}
+    moved += [(t["seq"], DAY0, "USD", t["xccy"], 0.75) for t in trades[:9] if t["seq"] not in taken]
+    curve = data.curve_rates()
+    rows = revalue_on_each_tick(data.trade_frame(spark, trades), data.tick_frame(spark, moved), data.curve_frame(spark, curve))
+    closes = revalue_on_tick(data.trade_frame(spark, trades), data.tick_frame(spark, moved), data.curve_frame(spark, curve))
+    assert set(rows.columns) == set(closes.columns)
+    found = rows.select("close_seq", "id", "seq", "swapvalue", "price_status").collect()
+    got = {(r.close_seq, r.id): (r.seq, r.swapvalue, r.price_status) for r in found}
+    expected = replay.valuations(trades, moved, curve)
+    assert got.keys() == expected.keys() and len(got) == len(found) > 300
+    for key, (seq, amount, status) in expected.items():
+        assert got[key][0] == seq and got[key][2] == status
+        assert got[key][1] == (None if amount is None else pytest.approx(amount, rel=1e-12, abs=1e-9))
+
+
+def test_every_tick_of_odd_ticks(spark):
+    """A tick sent twice re-prices twice; ticks without date or time, and of no known currency, re-price nothing."""
+    trade = data.trade(random.Random(1), 1, 100, xccy="EUR", payccy="EUR", receiveccy="USD")
+    late = {**trade, "id": "SWAP2", "seq": 4 * DAY_US}
+    ticks = [(100, DAY0, "USD", "EUR", 0.7), (300, DAY0, "USD", "EUR", 0.8), (300, DAY0, "USD", "EUR", 0.8), (400, None, "USD", "EUR", 0.9)]
+    ticks += [(None, DAY0, "USD", "EUR", 0.9), (500, DAY0, "USD", "USD", 0.9), (3 * DAY_US, DAY0, "USD", "EUR", None)]
+    rows = revalue_on_each_tick(data.trade_frame(spark, [trade, late]), data.tick_frame(spark, ticks), data.curve_frame(spark, data.curve_rates()))
+    assert sorted((r.close_seq, r.id) for r in rows.collect()) == [(300, "SWAP1"), (300, "SWAP1"), (3 * DAY_US, "SWAP1")]
+    none = revalue_on_each_tick(data.trade_frame(spark, [trade]), data.tick_frame(spark, ticks).limit(0), data.curve_frame(spark, data.curve_rates()))
+    assert none.count() == 0
