@@ -96,3 +96,22 @@ def test_pages_are_counted_without_their_texts(spark):
     over = line_dedup.boilerplate(pages, "host", "text", 0.3, 5)
     assert over._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
     assert [len(r._over) for r in over.collect()] == [1]
+
+
+def test_mix_is_the_sequence_of_all_passes(spark):
+    """Rows come in training order, and the times of all passes are those of the sequence."""
+    rows = [(i, f"w{i} " * (1 + i % 5), "ab"[i % 2]) for i in range(300)]
+    df, _ = mixed(spark, rows)
+    found = mixing.mix(df.repartition(7)).collect()
+    first = [r.position for r in found if r.position is not None]
+    assert first == sorted(first) and [r.position for r in found[: len(first)]] == first and len(found) == 300
+    assert all((r.positions[0] if r.positions else None) == r.position and len(r.positions) * r.size == r.taken for r in found)
+    assert max(len(r.positions) for r in found) == 2
+    times = sorted((at, r.doc_id) for r in found for at in r.positions)
+    sequence = [r.doc_id for r in mixing.curriculum(df).collect()]
+    assert len(sequence) == len(times)
+    at_of = collections.defaultdict(list)
+    for at, doc in times:
+        at_of[doc].append(at)
+    order = [at_of[doc].pop(0) for doc in sequence]
+    assert order == sorted(order)
