@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from swapbook.operators import portfolio
+from swapbook.operators.revalue import revalue_on_tick
+from swapbook.plans import inputs, registry
 from swapbook.schemas import VALUATION, VALUATION_KEY
 from swapbook.sources import commits, latest_view, valuation_table
 from swapbook.streaming import sinks
@@ -169,3 +171,23 @@ def test_rows_are_written_by_the_tasks_that_have_them(spark, folder):
     # a trade is in one file of a day, and a day has one file per task: nothing was moved
     assert parts.groupBy("valuation_day", "id").agg(F.countDistinct("_file").alias("n")).filter("n > 1").isEmpty()
     assert {r.n for r in parts.groupBy("valuation_day").agg(F.countDistinct("_file").alias("n")).collect()} == {3}
+
+
+def test_history_is_written_in_parts_of_the_book(spark, folder, monkeypatch):
+    """A large load is stored part by part, each in the order of organizations and ids, with the rows of the whole."""
+    for name in ("orders", "lineitem", "events"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    monkeypatch.setattr(registry, "MESSAGES_PER_PART", 2500)
+    path = registry._store(spark, folder)
+    assert sorted(r.batch_id for r in valuation_table.batches(spark, path).collect()) == [0, 1, 2]
+    history = valuation_table.read(spark, path)
+    assert history.groupBy("id").agg(F.countDistinct("batch_id").alias("n")).filter("n > 1").isEmpty()
+    whole = revalue_on_tick(inputs.trade_messages(spark, folder), inputs.ticks(spark, folder), inputs.curve(spark, folder))
+    names = ("organization", "id", "payccy", "receiveccy", "valuationdate", "swapvalue")
+    want = whole.filter("price_status = 'ok'").select(*names)
+    assert want.exceptAll(history.select(*names)).isEmpty() and want.count() == history.count() > 1000
+    files = [os.path.join(place, name) for place, _, found in os.walk(f"{path}/rows") for name in found if name.endswith(".parquet")]
+    for file in files[:20]:
+        rows = [(r.organization, r.id) for r in spark.read.parquet(file).select("organization", "id").collect()]
+        assert rows == sorted(rows)
+    assert registry._store(spark, folder) == path and len(files) > 30
