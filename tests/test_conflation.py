@@ -3,6 +3,8 @@
 import random
 
 import data
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_revalue import event_log
@@ -10,7 +12,7 @@ from test_streaming import same, stored
 
 from swapbook.operators.revalue import DAY_US, revalue_on_tick
 from swapbook.sources import messages
-from swapbook.streaming import conflation, jobs, sinks
+from swapbook.streaming import conflation, frames, jobs, sinks
 
 
 def run(spark, folder, curve, schema, **options):
@@ -93,3 +95,13 @@ def test_own_ticks_only(spark, folder):
     run(spark, folder, curve, events.schema, delay="10 days", all_currencies=False)
     batch = revalue_on_tick(trade_frame, tick_frame, curve, width=DAY_US)
     same(stored(spark, folder), {(r.close_seq, r.id): (r.seq, r.swapvalue, r.price_status) for r in batch.collect()})
+
+
+def test_state_is_compressed():
+    """A book in state takes a fraction of its Arrow table, and reads back as it was."""
+    rng = random.Random(5)
+    book = pd.DataFrame([{**data.trade(rng, n, n), "place": ""} for n in range(5000)])[frames.BOOK.names]
+    state = frames.packed(book, frames.BOOK)
+    assert len(state) * 3 < pa.Table.from_pandas(book, frames.BOOK, preserve_index=False).nbytes
+    back = frames.unpacked(state, frames.BOOK)
+    assert all(list(back[name]) == list(book[name]) for name in frames.BOOK.names)
